@@ -157,7 +157,7 @@ _LINES = "unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(line, ord)"
 ORACLES: dict[str, str] = {
     "read_text_docs": f"SELECT doc_id // 100 AS bucket, string_agg(text || {_NL}, '' ORDER BY doc_id) AS text FROM documents GROUP BY ALL",
     "read_equation_json": f"""WITH {ENTRIES} SELECT bucket, CAST(row_number() OVER (PARTITION BY bucket ORDER BY p_partkey, pos) - 1 AS BIGINT) AS pos, equation, description
-FROM (SELECT p_partkey // 50 AS bucket, p_partkey, pos, j ->> 'equation' AS equation, j ->> 'description' AS description FROM entries) WHERE bucket % 5 <> 4""",
+FROM (SELECT p_partkey // 200 AS bucket, p_partkey, pos, j ->> 'equation' AS equation, j ->> 'description' AS description FROM entries) WHERE bucket % 5 <> 4""",
     "read_jsonl": "SELECT text FROM documents",
     "page_chunks": f"""WITH {PAGES} SELECT doc_id, (page_no - 1) // 10 + 1 AS chunk_no,
   CAST(doc_id AS VARCHAR) || '_part_' || CAST((page_no - 1) // 10 + 1 AS VARCHAR) AS chunk_name, count(*) AS n_pages,

@@ -57,7 +57,7 @@ def read_equation_json(spark, sf_dir):
     path = scratch_path(spark, "equations")
     entries = parsing.equation_entries(views.equation_responses(spark, sf_dir))
     files = (
-        entries.select(F.expr("p_partkey div 50").alias("bucket"), F.struct("p_partkey", "pos", "entry").alias("e"))
+        entries.select(F.expr("p_partkey div 200").alias("bucket"), F.struct("p_partkey", "pos", "entry").alias("e"))
         .groupBy("bucket").agg(F.sort_array(F.collect_list("e")).alias("es"))
         .select("bucket", F.concat(
             F.lit("["), F.array_join(F.transform("es", lambda e: e["entry"]), ","),
@@ -418,7 +418,8 @@ def backup_manifest(spark, sf_dir):
 # Jobs
 
 def _workspace(spark):
-    return jobs.Workspace(spark, scratch_path(spark, "job"), stubs.corpus_writer, PROMPTS)
+    cores = spark.sparkContext.defaultParallelism
+    return jobs.Workspace(spark, scratch_path(spark, "job"), stubs.corpus_writer, PROMPTS, partitions=cores)
 
 
 def _named(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import equation_text as et, records
 from ..functions.records import as_json
+from .rows import compute_once, explode_once
 
 TYPED = ["equation", "description", "explanation", "symbols_json", "symbols", "conditions", "source"]
 
@@ -15,14 +16,17 @@ def typed_entries(entries: DataFrame, fields: str = "fields") -> DataFrame:
     kept = [c for c in entries.columns if c not in (fields, "entry")]
     value = lambda key: F.col(fields)[key]
     present = lambda key, default: F.when(F.map_contains_key(fields, key), value(key)).otherwise(F.lit(default))
-    return entries.select(
+    parsed = compute_once(entries, {
+        "symbols": et.symbol_array(value("symbols")), "conditions": et.condition_array(value("conditions")),
+    })
+    return parsed.select(
         *kept,
         value("equation").alias("equation"),
         present("description", et.NO_DESCRIPTION).alias("description"),
         present("description", et.NO_EXPLANATION).alias("explanation"),
         value("symbols").alias("symbols_json"),
-        et.symbol_array(value("symbols")).alias("symbols"),
-        et.condition_array(value("conditions")).alias("conditions"),
+        "symbols",
+        "conditions",
         value("source").alias("source"),
     )
 
@@ -33,10 +37,8 @@ def _kept(entries: DataFrame) -> list[str]:
 
 def symbol_info(entries: DataFrame) -> DataFrame:
     """One row per symbol of each typed entry: ``symbol_pos, symbol, description, unit``."""
-    rows = entries.select(*_kept(entries), F.posexplode("symbols").alias("symbol_pos", "_s"))
-    return rows.select(
-        *_kept(entries), F.col("symbol_pos").cast("bigint").alias("symbol_pos"), "_s.symbol", "_s.description", "_s.unit",
-    )
+    rows = explode_once(entries, F.col("symbols"), "_s", "symbol_pos", keep=_kept(entries))
+    return rows.select(*_kept(entries), "symbol_pos", "_s.symbol", "_s.description", "_s.unit")
 
 
 def equation_pretraining(entries: DataFrame) -> DataFrame:
@@ -77,5 +79,5 @@ def equation_datasets(entries: DataFrame, include_conversations: bool = True) ->
     rows = F.array(*[
         F.when(ok, F.struct(F.lit(name).alias("dataset"), as_json(record).alias("json"))) for name, ok, record in made
     ])
-    exploded = entries.select(*_kept(entries), F.explode(rows).alias("_r")).where("_r is not null")
+    exploded = explode_once(entries, rows, "_r", "_n", keep=_kept(entries)).where("_r is not null")
     return exploded.select(*_kept(entries), "_r.dataset", "_r.json")

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import answers, json_text as js
+from .rows import compute_once, explode_once
 
 
 def _exploded(df: DataFrame, completion: str, array: str, output: str) -> DataFrame:
     kept = [c for c in df.columns if c not in (completion, array)]
-    rows = df.select(*kept, F.posexplode(array).alias("pos", output))
-    return rows.withColumn("pos", F.col("pos").cast("bigint"))
+    return explode_once(df, F.col(array), output, keep=kept)
 
 
 def cpt_sections(df: DataFrame, completion: str = "completion", min_chars: int = answers.MIN_SECTION) -> DataFrame:
@@ -36,7 +36,7 @@ def qa_pairs(
     blocks = _exploded(
         df.withColumn("_blocks", answers.qa_blocks(F.col(completion), multi_digit)), completion, "_blocks", "_block"
     )
-    pairs = blocks.withColumns({
+    pairs = compute_once(blocks, {
         "question": answers.qa_question(F.col("_block"), multi_digit),
         "answer": answers.qa_answer(F.col("_block"), multi_digit, full_answer),
     })
@@ -68,25 +68,22 @@ def parsed_equations(df: DataFrame, completion: str = "completion") -> DataFrame
     """
     kept = [c for c in df.columns if c != completion]
     text = F.col(completion)
-    parsed = df.withColumn("_value", js.strict_value(text))
+    parsed = compute_once(df, {"_value": js.strict_value(text)})
     value = F.col("_value")
     entries = (
         F.when(js.starts_with(text, "{") & value.isNotNull(), F.when(value == "{}", F.array().cast("array<string>")).otherwise(F.array(value)))
         .when(js.starts_with(text, "[") & value.isNotNull(), js.text_array(value))
         .otherwise(F.array(F.lit(None).cast("string")))
     )
-    rows = parsed.withColumn("_entries", entries).select(
-        *kept, completion, "_value", F.posexplode("_entries").alias("pos", "entry")
-    )
     container = (js.starts_with(text, "{") | js.starts_with(text, "[")) & value.isNotNull()
     scalar = value.isNotNull() | (F.btrim(text, F.lit(" \t\n\r")) == "null")
-    with_fields = rows.withColumn("fields", F.when(js.starts_with(F.col("entry"), "{"), js.text_map(F.col("entry"))))
-    reason = (
-        F.when(container, F.when(F.col("fields").isNull(), "not_an_object"))
-        .when(scalar, "no_entries")
-        .otherwise("invalid_json")
-    )
-    return with_fields.select(*kept, F.col("pos").cast("bigint").alias("pos"), "entry", "fields", reason.alias("reason"))
+    # What is wrong with the completion as a whole; null if it holds entries.
+    whole = F.when(container, None).when(scalar, "no_entries").otherwise("invalid_json")
+    rows = explode_once(parsed.withColumn("_whole", whole), entries, "entry", keep=[*kept, "_whole"])
+    entry = F.col("entry")
+    typed = compute_once(rows, {"fields": F.when(js.starts_with(entry, "{"), js.text_map(entry))})
+    reason = F.coalesce("_whole", F.when(F.col("fields").isNull(), "not_an_object"))
+    return typed.select(*kept, "pos", "entry", "fields", reason.alias("reason"))
 
 
 def equation_entries(df: DataFrame, completion: str = "completion") -> DataFrame:
@@ -112,5 +109,5 @@ def equation_json_docs(df: DataFrame, completion: str = "completion", output: st
     The array stays inside its row, so nothing is collected again.
     """
     kept = [c for c in df.columns if c != completion]
-    valued = df.select(*kept, js.strict_value(F.col(completion)).alias(output))
+    valued = compute_once(df, {output: js.strict_value(F.col(completion))}).select(*kept, output)
     return valued.where(js.truthy(F.col(output)) & F.left(F.col(output), F.lit(1)).isin("[", "{"))

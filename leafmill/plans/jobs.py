@@ -50,6 +50,7 @@ class Workspace:
     model: str = "default"
     max_attempts: int = 1
     calls_per_task: int = 1
+    partitions: int | None = None
     tasks: dict[str, Task] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -61,6 +62,11 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Replace a keyed table of this workspace and read it back, so nothing downstream parses again."""
+        df.write.mode("overwrite").parquet(self.path(f"tables/{name}"))
+        return self.spark.read.schema(df.schema).parquet(self.path(f"tables/{name}"))
+
     def completions(self, task: str) -> DataFrame:
         """Stored completions of a task that succeeded; none before the first run."""
         if not path_exists(self.spark, self.path(f"completions/task={task}")):
@@ -79,7 +85,9 @@ class Workspace:
 
 def _ask(ws: Workspace, requests: DataFrame, resume: bool) -> None:
     """Complete the requests and store the answers by task."""
-    answers = complete(requests, ws.make_fn, max_attempts=ws.max_attempts, calls_per_task=ws.calls_per_task)
+    answers = complete(
+        requests, ws.make_fn, max_attempts=ws.max_attempts, calls_per_task=ws.calls_per_task, partitions=ws.partitions,
+    )
     write_text_docs(answers, ws.path("completions"), ("task",), replace=not resume)
 
 
@@ -94,7 +102,7 @@ def job_rag_cpt(ws: Workspace, docs: DataFrame, resume: bool = True) -> DataFram
     """A RAG and a CPT text per document, each only if missing; gives the CPT sections."""
     for task in ("rag", "cpt"):
         ask_documents(ws, docs, task, resume=resume)
-    sections = cpt_sections(ws.completions("cpt").select("name", "completion"))
+    sections = ws.keep(cpt_sections(ws.completions("cpt").select("name", "completion")), "cpt_sections")
     write_jsonl(sections, ws.path("cpt_text"), ["text"], order_by=["name", "pos"])
     return sections
 
@@ -107,18 +115,20 @@ def job_equations(ws: Workspace, docs: DataFrame, resume: bool = True, include_c
     stored = ws.completions("equations").select("name", "completion")
     ask_documents(ws, docs, "equations", done=equation_json_docs(stored), resume=resume)
     answers = ws.completions("equations").select("name", "completion")
-    rendered = equation_datasets(typed_entries(equation_entries(answers)), include_conversations)
+    made = equation_datasets(typed_entries(equation_entries(answers)), include_conversations)
+    rendered = ws.keep(made, "equation_records")
     write_json_text(rendered, ws.path("formatted_equations"), "json", ("dataset",))
     return rendered
 
 
 def job_qa(ws: Workspace, docs: DataFrame, resume: bool = False) -> DataFrame:
-    """Question-answer records of each text, with a verdict per document in ``qa_verdicts``."""
+    """Question-answer records of each text, with a verdict per document in the table ``qa_verdicts``."""
     ask_documents(ws, docs, "qa", resume=resume)
     pairs = qa_pairs(ws.completions("qa").select("name", "completion"))
-    made = pairs.select("name", "pos", to_finetuning(F.col("question"), F.col("answer"))["messages"].alias("messages"))
+    messages = to_finetuning(F.col("question"), F.col("answer"))["messages"].alias("messages")
+    made = ws.keep(pairs.select("name", "pos", messages), "qa_records")
     write_jsonl(made, ws.path("qa_pairs"), ["messages"], order_by=["name", "pos"])
-    batch_verdicts(docs, made, "name").write.mode("overwrite").parquet(ws.path("qa_verdicts"))
+    ws.keep(batch_verdicts(docs, made, "name"), "qa_verdicts")
     return made
 
 
@@ -138,7 +148,8 @@ def job_synthetic(
     prompts = token_budget(synth_prompts(batches, ws.prompts["synthetic"]), "prompt", max_request, max_output)
     fitting = prompts.where(~F.col("over_budget")).select(F.col("batch_idx").cast("string").alias("name"), "prompt")
     _ask(ws, prompt_requests(fitting, ws.tasks["synthetic"]), resume=False)
-    pieces = synth_pieces(ws.completions("synthetic").select(F.col("name").cast("bigint").alias("batch_idx"), "completion"))
+    answers = ws.completions("synthetic").select(F.col("name").cast("bigint").alias("batch_idx"), "completion")
+    pieces = ws.keep(synth_pieces(answers), "synthetic_pieces")
     write_jsonl(pieces, ws.path("synthetic_data"), ["text"], order_by=["batch_idx", "pos"])
     return pieces
 
@@ -196,11 +207,11 @@ def job_all(
 
     def assemble() -> None:
         chunks = assemble_pages(page_chunks(pages, pages_per_chunk))
-        chunks.select(F.col("chunk_name").alias("name"), "text").write.mode("overwrite").parquet(ws.path("ocr_text"))
+        ws.keep(chunks.select(F.col("chunk_name").alias("name"), "text"), "page_texts")
 
     actions = {
         "assemble": assemble,
-        "rag": lambda: job_rag_cpt(ws, ws.spark.read.parquet(ws.path("ocr_text"))),
+        "rag": lambda: job_rag_cpt(ws, ws.spark.read.parquet(ws.path("tables/page_texts"))),
         "equations": lambda: job_equations(ws, ws.texts("rag")),
         "synth": lambda: job_synthetic(ws, ws.texts("rag"), **synthetic),
         "qa": lambda: job_qa(ws, ws.texts("rag")),
