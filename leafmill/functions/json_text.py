@@ -31,8 +31,20 @@ def text_array(value: Column) -> Column:
 
 
 def text_map(value: Column) -> Column:
-    """Members of a JSON object as texts in their order, a repeated key's last value; null if no object."""
-    return F.from_json(value, "map<string,string>", _STRICT)
+    """Members of a JSON object as texts in their order; null if it is no object.
+
+    ``from_json`` keeps every occurrence of a repeated key; here a key stays at its first place and has
+    its last value.
+    """
+
+    def last_wins(members: Column) -> Column:
+        keys = F.array_distinct(F.map_keys(members))
+        last = lambda key: F.element_at(F.filter(F.map_entries(members), lambda e: e["key"] == key), -1)["value"]
+        return F.when(F.size(keys) == F.size(members), members).otherwise(
+            F.map_from_arrays(keys, F.transform(keys, last))
+        )
+
+    return F.element_at(F.transform(F.array(F.from_json(value, "map<string,string>", _STRICT)), last_wins), 1)
 
 
 def truthy(value: Column) -> Column:

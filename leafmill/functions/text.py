@@ -29,6 +29,11 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(text, f"(?U){SPACE}+", " ")
 
 
+def listed_name(encoded: Column) -> Column:
+    """The plain form of a name in ``_metadata``, which is written as in a URI."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/]+\z", 0)
 

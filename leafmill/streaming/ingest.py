@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import unix_newlines
+from ..functions.text import listed_name, unix_newlines
 
 
 def ingest_new(
@@ -27,7 +27,7 @@ def ingest_new(
         spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt")
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files_per_batch)
         .load(landing)
-        .select("value", F.col("_metadata.file_name").alias("name"))
+        .select("value", listed_name(F.col("_metadata.file_name")).alias("name"))
         .where(F.is_valid_utf8("value"))
         .select("name", unix_newlines(F.col("value")).alias("text"))
     )

@@ -1,0 +1,36 @@
+"""Every query against its SQL on the given tables, with one and with several shuffle partitions."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import compare, connect
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_each_query_has_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_equals_sql(spark, duck, name):
+    assert compare(spark, duck, name, SF_DIR) == ""
+
+
+@pytest.mark.parametrize("name", ["page_chunks", "page_positions", "combine_documents_by_name", "fixed_batches", "synth_prompts", "ft_corpus"])
+def test_rows_do_not_depend_on_partitions(spark, duck, name):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert compare(spark, duck, name, SF_DIR) == ""
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
