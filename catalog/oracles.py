@@ -189,6 +189,8 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = documents.doc_id AND t
     "validate_records": f"""WITH {QA} SELECT batch, CAST(coalesce(n, 0) AS BIGINT) AS n_rows, coalesce(ok, false) AS valid
 FROM (SELECT DISTINCT conv_id // 2 AS batch FROM conversations)
 LEFT JOIN (SELECT conv_id // 2 AS batch, count(*) AS n, bool_and(length(answer) >= 40) AS ok FROM pairs GROUP BY 1) USING (batch)""",
+    "validate_equations": f"""WITH {ENTRIES} SELECT p_partkey // 3 AS batch, count(v.completion) AS n_rows, count(v.completion) > 0 AS valid
+FROM part LEFT JOIN (SELECT * FROM valid WHERE completion <> '[]') v USING (p_partkey) GROUP BY 1""",
     "cpt_sections": f"WITH {CPT} SELECT * FROM sections",
     "qa_pairs": f"WITH {QA} SELECT * FROM pairs",
     "synth_pieces": f"WITH {SYNTH} SELECT * FROM pieces",

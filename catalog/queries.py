@@ -235,6 +235,14 @@ def validate_records(spark, sf_dir):
     return merging.batch_verdicts(batches, made, "batch")
 
 
+@query
+def validate_equations(spark, sf_dir):
+    """Batches of three parts; one is valid if any of its completions gave equations."""
+    batch = F.expr("p_partkey div 3").alias("batch")
+    processed = parsing.equation_json_docs(views.equation_responses(spark, sf_dir)).select(batch)
+    return merging.batch_verdicts(views.table(spark, sf_dir, "part", "p_partkey").select(batch), processed, "batch", F.lit(True))
+
+
 # Parsing
 
 @query

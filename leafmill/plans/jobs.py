@@ -51,6 +51,7 @@ class Workspace:
     max_attempts: int = 1
     calls_per_task: int = 1
     partitions: int | None = None
+    validators: dict[str, Callable[[str], bool]] = field(default_factory=dict)
     tasks: dict[str, Task] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -83,10 +84,11 @@ class Workspace:
         return read_jsonl(self.spark, folder, schema) if path_exists(self.spark, folder) else None
 
 
-def _ask(ws: Workspace, requests: DataFrame, resume: bool) -> None:
-    """Complete the requests and store the answers by task."""
+def _ask(ws: Workspace, requests: DataFrame, task: str, resume: bool) -> None:
+    """Complete the requests of a task, with its validator if there is one, and store the answers."""
     answers = complete(
-        requests, ws.make_fn, max_attempts=ws.max_attempts, calls_per_task=ws.calls_per_task, partitions=ws.partitions,
+        requests, ws.make_fn, max_attempts=ws.max_attempts, validate=ws.validators.get(task),
+        calls_per_task=ws.calls_per_task, partitions=ws.partitions,
     )
     write_text_docs(answers, ws.path("completions"), ("task",), replace=not resume)
 
@@ -95,7 +97,7 @@ def ask_documents(ws: Workspace, docs: DataFrame, task: str, done: DataFrame | N
     """Ask one task about the documents (``name, text``) that have no stored answer."""
     done = ws.completions(task) if done is None else done
     pending = pending_only(docs.select("name", "text"), done, ["name"], force=not resume)
-    _ask(ws, chat_requests(pending, [ws.tasks[task]]), resume)
+    _ask(ws, chat_requests(pending, [ws.tasks[task]]), task, resume)
 
 
 def job_rag_cpt(ws: Workspace, docs: DataFrame, resume: bool = True) -> DataFrame:
@@ -147,7 +149,7 @@ def job_synthetic(
     )
     prompts = token_budget(synth_prompts(batches, ws.prompts["synthetic"]), "prompt", max_request, max_output)
     fitting = prompts.where(~F.col("over_budget")).select(F.col("batch_idx").cast("string").alias("name"), "prompt")
-    _ask(ws, prompt_requests(fitting, ws.tasks["synthetic"]), resume=False)
+    _ask(ws, prompt_requests(fitting, ws.tasks["synthetic"]), "synthetic", resume=False)
     answers = ws.completions("synthetic").select(F.col("name").cast("bigint").alias("batch_idx"), "completion")
     pieces = ws.keep(synth_pieces(answers), "synthetic_pieces")
     write_jsonl(pieces, ws.path("synthetic_data"), ["text"], order_by=["batch_idx", "pos"])

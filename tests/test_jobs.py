@@ -1,3 +1,4 @@
+import dataclasses
 import json
 
 import pytest
@@ -82,6 +83,13 @@ def test_qa_verdicts(spark, workspace):
     assert {r.name: r.valid for r in verdicts} == {"a": True, "b": False}
 
 
+def test_a_validator_makes_a_task_try_again(spark, workspace):
+    flaky = lambda request, attempt: "Q1: q\nA1: a" if attempt == 2 else "nothing"
+    ws = dataclasses.replace(workspace(flaky), max_attempts=2, validators={"qa": lambda answer: "A1:" in answer})
+    assert jobs.job_qa(ws, docs(spark, "a", "b")).count() == 2
+    assert workspace.calls.value == 4
+
+
 def test_all_steps_and_a_failing_one(spark, workspace, tmp_path):
     pages = spark.createDataFrame([("d", n, f"page {n} " + "z" * 120) for n in range(1, 13)], "doc_id string, page_no bigint, markdown string")
     old = tmp_path / "old"
