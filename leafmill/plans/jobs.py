@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import records
 from ..functions.records import to_finetuning
-from ..operators.assemble import assemble_pages, page_chunks
+from ..operators.assemble import assemble_pages, combine_documents, page_chunks
 from ..operators.chunking import (
     MAX_CHUNK_TOKENS, MAX_OUTPUT_TOKENS, MAX_REQUEST_TOKENS, fixed_batches, token_budget, token_chunks,
 )
@@ -94,7 +94,11 @@ def _ask(ws: Workspace, requests: DataFrame, task: str, resume: bool) -> None:
 
 
 def ask_documents(ws: Workspace, docs: DataFrame, task: str, done: DataFrame | None = None, resume: bool = True) -> None:
-    """Ask one task about the documents (``name, text``) that have no stored answer."""
+    """Ask one task about the documents (``name, text``) that have no stored answer.
+
+    The answers of a call are stored together when it ends. To risk less, call it for one slice of the
+    documents after the other: each slice is safe once stored.
+    """
     done = ws.completions(task) if done is None else done
     pending = pending_only(docs.select("name", "text"), done, ["name"], force=not resume)
     _ask(ws, chat_requests(pending, [ws.tasks[task]]), task, resume)
@@ -204,15 +208,21 @@ def job_all(
     """The selected steps in order and the counts at the end, with the state of each step.
 
     Steps hand over tables in the workspace, so a subset works on what is there, and a step that fails
-    is noted and does not stop the rest.
+    is noted and does not stop the rest. ``combine`` (the page texts put together, in parts) runs only if
+    it is named.
     """
 
     def assemble() -> None:
         chunks = assemble_pages(page_chunks(pages, pages_per_chunk))
         ws.keep(chunks.select(F.col("chunk_name").alias("name"), "text"), "page_texts")
 
+    def combine() -> None:
+        texts = ws.spark.read.parquet(ws.path("tables/page_texts")).withColumn("corpus", F.lit("all"))
+        ws.keep(combine_documents(texts, "corpus", "name"), "combined_text")
+
     actions = {
         "assemble": assemble,
+        "combine": combine,
         "rag": lambda: job_rag_cpt(ws, ws.spark.read.parquet(ws.path("tables/page_texts"))),
         "equations": lambda: job_equations(ws, ws.texts("rag")),
         "synth": lambda: job_synthetic(ws, ws.texts("rag"), **synthetic),

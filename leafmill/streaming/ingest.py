@@ -21,7 +21,8 @@ def ingest_new(
 
     ``transform`` is any batch operator chain over ``name, text``. Each micro-batch writes its own
     ``batch_id`` folder and replaces it when Spark retries the batch, so a lost executor or driver
-    neither loses nor repeats rows. The state is the file list in ``checkpoint``.
+    neither loses nor repeats rows. The state is the file list in ``checkpoint``; ``output`` belongs to
+    it, so start both anew together.
     """
     stream = (
         spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt")
@@ -32,10 +33,13 @@ def ingest_new(
         .select("name", unix_newlines(F.col("value")).alias("text"))
     )
 
+    written = []
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = batch if transform is None else transform(batch)
         rows.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        written.append(batch_id)
 
     query = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return len(written)

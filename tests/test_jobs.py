@@ -103,6 +103,9 @@ def test_all_steps_and_a_failing_one(spark, workspace, tmp_path):
     assert corpus.count("old record") == 1
     n_tuned = sum(len(f.read_text().splitlines()) for f in (tmp_path / "ws/finetuning_corpus").glob("*.json"))
     assert n_tuned == counts["equations_ft"] + counts["qa_pairs"]
+    assert jobs.job_all(workspace(), steps=["combine"])[1] == {"combine": "done"}
+    combined = spark.read.parquet(str(tmp_path / "ws/tables/combined_text")).first().text
+    assert combined.startswith("# d_part_1\n\n\n# Page 1\npage 1 ") and "\n\n# d_part_2\n" in combined
     with pytest.raises(ValueError):
         jobs.job_all(workspace(), pages, steps=["nothing"])
 
