@@ -104,6 +104,17 @@ def ask_documents(ws: Workspace, docs: DataFrame, task: str, done: DataFrame | N
     _ask(ws, chat_requests(pending, [ws.tasks[task]]), task, resume)
 
 
+def ask_current(ws: Workspace, requests: DataFrame, task: str, resume: bool = True) -> DataFrame:
+    """Answers to exactly these requests: ``name, completion``.
+
+    A stored answer counts only if its prompt is the same, so a changed text is asked about again and
+    the answer to its old form is left out. The joins are on unique keys.
+    """
+    key = ["name", "prompt_hash"]
+    _ask(ws, pending_only(requests, ws.completions(task), key, force=not resume), task, resume)
+    return ws.completions(task).join(requests.select(*key), key, "left_semi").select("name", "completion")
+
+
 def job_rag_cpt(ws: Workspace, docs: DataFrame, resume: bool = True) -> DataFrame:
     """A RAG and a CPT text per document, each only if missing; gives the CPT sections."""
     for task in ("rag", "cpt"):
@@ -127,10 +138,10 @@ def job_equations(ws: Workspace, docs: DataFrame, resume: bool = True, include_c
     return rendered
 
 
-def job_qa(ws: Workspace, docs: DataFrame, resume: bool = False) -> DataFrame:
+def job_qa(ws: Workspace, docs: DataFrame, resume: bool = True) -> DataFrame:
     """Question-answer records of each text, with a verdict per document in the table ``qa_verdicts``."""
-    ask_documents(ws, docs, "qa", resume=resume)
-    pairs = qa_pairs(ws.completions("qa").select("name", "completion"))
+    requests = chat_requests(docs.select("name", "text"), [ws.tasks["qa"]])
+    pairs = qa_pairs(ask_current(ws, requests, "qa", resume))
     messages = to_finetuning(F.col("question"), F.col("answer"))["messages"].alias("messages")
     made = ws.keep(pairs.select("name", "pos", messages), "qa_records")
     write_jsonl(made, ws.path("qa_pairs"), ["messages"], order_by=["name", "pos"])
@@ -145,17 +156,18 @@ def job_synthetic(
     batch_size: int = 1,
     max_request: int = MAX_REQUEST_TOKENS,
     max_output: int = MAX_OUTPUT_TOKENS,
+    resume: bool = True,
 ) -> DataFrame:
-    """Synthetic pieces from token chunks; the answers and the output are replaced on each run."""
+    """Synthetic pieces from the token chunks of the texts, as far as their prompts fit the budget."""
     batches = fixed_batches(
         docs.select("name", "text"), batch_size, ["name"], ["name", "text"],
         expand=lambda placed: token_chunks(placed, chunk_tokens),
     )
     prompts = token_budget(synth_prompts(batches, ws.prompts["synthetic"]), "prompt", max_request, max_output)
     fitting = prompts.where(~F.col("over_budget")).select(F.col("batch_idx").cast("string").alias("name"), "prompt")
-    _ask(ws, prompt_requests(fitting, ws.tasks["synthetic"]), "synthetic", resume=False)
-    answers = ws.completions("synthetic").select(F.col("name").cast("bigint").alias("batch_idx"), "completion")
-    pieces = ws.keep(synth_pieces(answers), "synthetic_pieces")
+    answers = ask_current(ws, prompt_requests(fitting, ws.tasks["synthetic"]), "synthetic", resume)
+    numbered = answers.select(F.col("name").cast("bigint").alias("batch_idx"), "completion")
+    pieces = ws.keep(synth_pieces(numbered), "synthetic_pieces")
     write_jsonl(pieces, ws.path("synthetic_data"), ["text"], order_by=["batch_idx", "pos"])
     return pieces
 

@@ -76,6 +76,22 @@ def test_over_long_prompts_are_not_asked(spark, workspace):
     assert workspace.calls.value == total
 
 
+def test_a_second_run_asks_nothing_and_a_changed_text_is_asked_again(spark, workspace):
+    ws, old = workspace(), docs(spark, "a", "b")
+    changed = old.replace({old.orderBy("name").first().text: "a other " + "w" * 120}, subset=["text"])
+    for job in (jobs.job_qa, jobs.job_synthetic):
+        before = workspace.calls.value
+        first = sorted(map(str, job(ws, old).collect()))
+        asked = workspace.calls.value - before
+        assert asked == 2
+        assert sorted(map(str, job(ws, old).collect())) == first and workspace.calls.value == before + asked
+        assert sorted(map(str, job(ws, changed).collect())) != first
+        assert workspace.calls.value == before + asked + 1
+        assert sorted(map(str, job(ws, old).collect())) == first
+        assert sorted(map(str, job(ws, old, resume=False).collect())) == first
+        assert workspace.calls.value == before + 2 * asked + 1
+
+
 def test_qa_verdicts(spark, workspace):
     ws = workspace(lambda request, attempt: "no pairs" if request["messages"][1]["content"].startswith("b") else "Q1: q\nA1: a")
     assert jobs.job_qa(ws, docs(spark, "a", "b")).count() == 1
