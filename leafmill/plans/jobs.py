@@ -68,9 +68,12 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(f"tables/{name}"))
         return self.spark.read.schema(df.schema).parquet(self.path(f"tables/{name}"))
 
+    def asked(self, task: str) -> bool:
+        return path_exists(self.spark, self.path(f"completions/task={task}"))
+
     def completions(self, task: str) -> DataFrame:
         """Stored completions of a task that succeeded; none before the first run."""
-        if not path_exists(self.spark, self.path(f"completions/task={task}")):
+        if not self.asked(task):
             return self.spark.createDataFrame([], COMPLETION)
         stored = self.spark.read.schema(COMPLETION).parquet(self.path("completions"))
         return stored.where((F.col("task") == task) & (F.col("status") == "ok"))
@@ -84,6 +87,11 @@ class Workspace:
         return read_jsonl(self.spark, folder, schema) if path_exists(self.spark, folder) else None
 
 
+def _pending(ws: Workspace, work: DataFrame, done: DataFrame, key: list[str], task: str, resume: bool) -> DataFrame:
+    """What is left to do. A first run has nothing to compare with and takes its rows as they come."""
+    return pending_only(work, done, key, force=not resume or not ws.asked(task), keys_first=True)
+
+
 def _ask(ws: Workspace, requests: DataFrame, task: str, resume: bool) -> None:
     """Complete the requests of a task, with its validator if there is one, and store the answers."""
     answers = complete(
@@ -100,7 +108,7 @@ def ask_documents(ws: Workspace, docs: DataFrame, task: str, done: DataFrame | N
     documents after the other: each slice is safe once stored.
     """
     done = ws.completions(task) if done is None else done
-    pending = pending_only(docs.select("name", "text"), done, ["name"], force=not resume)
+    pending = _pending(ws, docs.select("name", "text"), done, ["name"], task, resume)
     _ask(ws, chat_requests(pending, [ws.tasks[task]]), task, resume)
 
 
@@ -111,7 +119,7 @@ def ask_current(ws: Workspace, requests: DataFrame, task: str, resume: bool = Tr
     the answer to its old form is left out. The joins are on unique keys.
     """
     key = ["name", "prompt_hash"]
-    _ask(ws, pending_only(requests, ws.completions(task), key, force=not resume), task, resume)
+    _ask(ws, _pending(ws, requests, ws.completions(task), key, task, resume), task, resume)
     return ws.completions(task).join(requests.select(*key), key, "left_semi").select("name", "completion")
 
 
