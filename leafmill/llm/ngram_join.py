@@ -263,4 +263,5 @@ def drop_near_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One document of each component: its smallest id stays. All columns are kept; documents without words
     are copies of nothing and stay. Of rows that repeat an id that stays, all stay."""
     kept = near_components(docs, size).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(materialize(kept, "kept"), docs["doc_id"].eqNullSafe(F.col("doc_id")), "left_semi")
+    kept = materialize(kept.select(F.col("doc_id").alias("_kept_id")), "kept")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
