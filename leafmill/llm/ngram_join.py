@@ -5,7 +5,8 @@ distance of two sketches is at most the symmetric difference of the sets. Sets o
 similarity t = 4/5 only if that difference is at most (a + b) / 9. The bit string is cut into segments whose
 number fits a band of sizes; a difference of d touches at most d segments, so all others agree (pigeonhole).
 A segment is kept as the XOR of a hash of its toggled bits. Sets meet on the segments in which they agree;
-a folded sketch of 1024 bits drops most of the wrong pairs, and the sets themselves decide.
+a folded sketch of 1024 bits drops most of the wrong pairs, one as wide as its set needs drops those of long
+texts, and the sets themselves decide.
 
 A set of size a needs a difference up to a // 4 (the largest partner has 5/4 of its size, and 9/36 = 1/4).
 It sends its first segments, as many as hold a // 4 + SPARE that are not empty: whichever of two linked sets
@@ -19,6 +20,7 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
@@ -34,6 +36,9 @@ SPARE = 4
 HOT = 256
 BAND = 1.25
 FOLDED = 16  # 64-bit words of the folded sketch
+#: Rows of one segment value that are compared with each other at a time; larger groups are split into blocks.
+BLOCK = 1024
+NARROW = 8  # 64-bit words of the sketch that goes with them
 #: Sets that a broadcast of their keys may hold (8 bytes each); more are joined by a shuffle.
 BROADCAST_KEYS = 4_000_000
 
@@ -104,6 +109,63 @@ def folded_sketch(own: np.ndarray) -> np.ndarray:
     return np.packbits(toggles.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(own: np.ndarray) -> bytes | None:
+    """A sketch of at least two bits per shingle; none where the folded one is as wide."""
+    bits = 1 << (2 * len(own) - 1).bit_length()
+    if bits <= 64 * FOLDED:
+        return None
+    toggles = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(toggles.astype(np.uint8)).tobytes()
+
+
+def wide_distance(a: bytes | None, b: bytes | None) -> int:
+    """The Hamming distance of two wide sketches, the wider one folded to the width of the other."""
+    if a is None or b is None:
+        return 0
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) > len(y):
+        x, y = y, x
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _near_in_groups(batches):
+    """Pairs (a, b) of one group, of different labels, whose sketches are near. The rows come group by group:
+    key, i, j, own (block of the row), node, label, n, then the words of the sketch."""
+    def compare(c):
+        group = np.concatenate(([0], np.cumsum(np.any([x[1:] != x[:-1] for x in c[:3]], axis=0))))
+        longest = int(np.bincount(group).max())
+        _, i, j, own, node, label, n = c[:7]
+        words, found = np.stack(c[7:], axis=1).view(np.uint64), []
+        for step in range(1, longest):
+            x = np.flatnonzero((group[step:] == group[:-step]) & (label[step:] != label[:-step]))
+            y = x + step
+            # Only like sizes can be similar; rows of one block are compared where the block meets itself.
+            fits = (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])) & ((i[x] == j[x]) | (own[x] != own[y]))
+            x, y = x[fits], y[fits]
+            near = 9 * np.bitwise_count(words[x] ^ words[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y]
+            x, y = x[near], y[near]
+            if len(x):
+                found.append(np.stack((np.minimum(node[x], node[y]), np.maximum(node[x], node[y])), axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append([batch.column(k).to_numpy() for k in range(batch.num_columns)])
+        rows += batch.num_rows
+        if rows < 16 * BLOCK:
+            continue
+        columns = [np.concatenate(x) for x in zip(*held)]
+        changes = np.flatnonzero(np.any([x[1:] != x[:-1] for x in columns[:3]], axis=0))
+        cut = int(changes[-1]) + 1 if len(changes) else 0  # the last group may go on in the next batch
+        if cut:
+            yield compare([x[:cut] for x in columns])
+        held, rows = [[x[cut:] for x in columns]], rows - cut
+    if rows:
+        yield compare([np.concatenate(x) for x in zip(*held)])
+
+
 def _make_rows(names: list[str], kinds: list[pa.DataType], text: str, size: int, row):
     def run(batches):
         splitter, seen = Splitter(WHITE_SPACE, fold=True), set()
@@ -131,7 +193,7 @@ def _new(seen: set, node: int) -> bool:
 
 
 def _doc_row(i, own, seen):
-    return i, len(own), _node(own), folded_sketch(own) if len(own) else None
+    return (i, len(own), _node(own), folded_sketch(own), wide_sketch(own)) if len(own) else (i, 0, None, None, None)
 
 
 def _key_row(i, own, seen):
@@ -161,12 +223,23 @@ def _verified(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, size: int
     apart = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in folded), F.lit(0))
     near = pairs.join(of("a", sketches, "n", *folded), "a").join(of("b", sketches, "n", *folded), "b")
     near = materialize(near.where(9 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b", "n_a", "n_b"), "near")
+
+    @F.pandas_udf("bigint")
+    def wide_apart(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([wide_distance(x, y) for x, y in zip(a, b)], dtype="int64")
+
+    near = near.join(of("a", sketches, "wide"), "a").join(of("b", sketches, "wide"), "b")
+    near = near.where(9 * wide_apart("wide_a", "wide_b") <= F.col("n_a") + F.col("n_b")).select("a", "b", "n_a", "n_b")
+    near = materialize(near, "nearer")
     nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = materialize(sketches.join(nodes, "node", "left_semi").select("doc_id"), "near-docs")
     run = _make_rows(["node", "own"], [LONG, LONGS], "text", size, _set_row)
-    sets = _pick(texts, ids, "doc_id").mapInArrow(run, "node bigint, own array<bigint>").groupBy("node").agg(F.first("own").alias("own"))
-    sets = materialize(sets, "near-sets")
-    both = near.join(of("a", sets, "own"), "a").join(of("b", sets, "own"), "b")
+    # A set may be there twice, from two tasks: its links are then, too, which changes nothing.
+    sets = materialize(_pick(texts, ids, "doc_id").mapInArrow(run, "node bigint, own array<bigint>"), "near-sets")
+    # Few sets are the first of a pair, often of many: the others travel to them, once for each pair.
+    pairs = F.broadcast(near) if near.count() <= BROADCAST_KEYS // 4 else near
+    firsts = _pick(of("a", sets, "own"), materialize(near.select("a").distinct(), "firsts"), "a")
+    both = of("b", sets, "own").join(pairs, "b").join(firsts, "a")
     common = F.size(F.array_intersect("own_a", "own_b"))
     return materialize(both.where(100 * common >= 80 * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"), "links")
 
@@ -202,15 +275,16 @@ def components(links: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents with their sets (``doc_id, n_shingles, node``) and all links that join the components of sets.
 
-    Two rounds of pairs suffice. First every set of a segment value is compared with the least one; then,
-    wherever one value still holds sets of several components, all pairs across them. Pairs inside one
-    component change nothing and are never made.
+    Two rounds suffice. First every set of a segment value is compared with the least one; then, wherever one
+    value still holds sets of several components, the sketches of these sets are compared across components
+    inside the tasks, block by block, and only near pairs become rows. Pairs inside one component change nothing.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    run = _make_rows(["doc_id", "n", "node", "s"], [LONG, LONG, LONG, LONGS], "text", size, _doc_row)
-    rows = texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, node bigint, s array<bigint>")
+    run = _make_rows(["doc_id", "n", "node", "s", "wide"], [LONG, LONG, LONG, LONGS, pa.binary()], "text", size, _doc_row)
+    made = "doc_id bigint, n bigint, node bigint, s array<bigint>, wide binary"
+    rows = texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, made)
     folded = [F.col("s")[i].alias(f"s{i}") for i in range(FOLDED)]
-    rows = materialize(rows.select("doc_id", F.col("n").alias("n_shingles"), "node", *folded), "sketches")
+    rows = materialize(rows.select("doc_id", F.col("n").alias("n_shingles"), "node", "wide", *folded), "sketches")
 
     run = _make_rows(["node", "keys"], [LONG, LONGS], "text", size, _key_row)
     keys = texts.mapInArrow(run, "node bigint, keys array<bigint>").select(F.explode("keys").alias("key"), "node")
@@ -223,7 +297,7 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
     shared = materialize(shared.where(F.col("n") <= HOT).select("key", "node").unionAll(hot.select("key", "node")), "met")
 
     first = rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *[F.first(f"s{i}").alias(f"s{i}") for i in range(FOLDED)]
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("wide").alias("wide"), *[F.first(f"s{i}").alias(f"s{i}") for i in range(FOLDED)]
     )
     met = shared.select("node").distinct()
     sketches = materialize(first.join(met, "node", "left_semi"), "met-sketches")
@@ -233,11 +307,16 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
 
     labels = components(links)
     labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-    open_rows = materialize(labelled.join(mixed, "key", "left_semi"), "open")
-    left = open_rows.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = open_rows.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    crossing = left.join(right, "key").where("a < b and la != lb").select("a", "b").distinct()
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).where("x != y")
+    open_rows = materialize(labelled.join(mixed.select("key", "c"), "key"), "open")
+    narrow = [F.col(f"s{i}").bitwiseXOR(F.col(f"s{i + NARROW}")).alias(f"f{i}") for i in range(NARROW)]
+    blocks = F.ceil(F.col("c") / BLOCK)
+    dealt = open_rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    dealt = dealt.join(sketches.select("node", "n", *narrow), "node").select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", *[f"f{i}" for i in range(NARROW)]
+    )
+    grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    crossing = grouped.mapInArrow(_near_in_groups, "a bigint, b bigint").distinct()
     crossing = crossing.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = links.unionAll(_verified(texts, sketches, crossing, size))
     return rows, links
