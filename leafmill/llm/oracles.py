@@ -13,6 +13,30 @@ def words(text: str, pattern: str, lower: bool) -> str:
     return f"regexp_extract_all({_LOWER.format(value) if lower else value}, '{pattern}')"
 
 
+def product_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every part compared with every entry, round after round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, p, min({{'d': d, 'e': e}}) AS m FROM (SELECT r, x.p, e,
+  CAST(list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM x JOIN b{i} b ON x.p = b.p) GROUP BY r, p)""")
+        if i < rounds:
+            steps.append(f"""b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.v, b.v) AS v FROM b{i} b LEFT JOIN (SELECT p, e, list(c ORDER BY pos) AS v FROM (
+  SELECT p, e, pos, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS c FROM (SELECT x.p, m.e AS e, pos, sum(v[pos]) AS s, count(*) AS n
+  FROM x JOIN a{i} a ON x.r = a.r AND x.p = a.p, unnest(range(1, len(v) + 1)) AS u(pos) GROUP BY ALL)) GROUP BY p, e) n ON n.p = b.p AND n.e = b.e)""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT r, p, list_transform(embedding[p * (len(embedding) // {parts}) + 1:(p + 1) * (len(embedding) // {parts})],
+  lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS v FROM kept, range({parts}) AS t(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM x WHERE r <= {entries}),
+{", ".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (r), book
+"""
+
+
 ORACLES = {
     "op3_url_automaton": """
 WITH parts AS (SELECT page_id, translate(regexp_extract(u, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -62,4 +86,5 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN words ON words.doc_id = w.doc_id LEFT JOIN items ON items.doc_id = w.doc_id
 """,
+    "op12_ball_kmeans_codes": product_codes(),
 }

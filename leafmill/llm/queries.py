@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize, scratch_path
-from . import decontaminate, imatch, language, mixing, ngram_join, relative_lz, sharding, surrogates, token_files, url_filter
+from . import (
+    ball_kmeans, conversations, decontaminate, imatch, language, mixing, ngram_join, relative_lz, sharding, simhash, surrogates, token_files,
+    url_filter,
+)
 from .url_filter import ALLOW, BLOCK, Rule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +108,22 @@ def op10_benchmark_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         decontaminate.items_sha256(F.col("item_ids")).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op11_bit_sliced_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op12_ball_kmeans_codes(spark, sf_dir):
+    coded, book = ball_kmeans.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return ball_kmeans.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(ball_kmeans.codebooks_sha256(book)).alias("codebooks_sha256")
+    )
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair_reports(conversations.damaged(turns))
