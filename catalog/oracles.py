@@ -154,9 +154,31 @@ _FT_JSON = "json_object('messages', json_array(json_object('role', 'user', 'cont
 _EQ_DOC = f"""{DOCS}, lengths AS (SELECT name, 'E_{{' || CAST(length(text) AS VARCHAR) || '}}' AS equation, text AS description FROM docs)"""
 _LINES = "unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(line, ord)"
 
+
+
+def existing_lines(shape: str) -> str:
+    json = "json_object('text', text)" if shape == "pretraining" else _FT_JSON.replace("question", "text").replace("answer", "'yes'")
+    return f"""shaped AS (SELECT doc_id, CAST({json} AS VARCHAR) AS json FROM documents),
+existing AS (SELECT CASE WHEN doc_id % 13 = 5 THEN json[:9] WHEN doc_id % 11 = 5 THEN '{{"note":' || CAST(doc_id AS VARCHAR) || '}}'
+  WHEN doc_id % 17 = 5 THEN '[' || json || ']' WHEN doc_id % 3 = 0 THEN json[:-2] || ', "id" : ' || CAST(doc_id AS VARCHAR) || ' }}' ELSE json END AS line,
+  CASE WHEN doc_id % 13 = 5 THEN 'invalid_json' WHEN doc_id % 11 = 5 THEN NULL WHEN doc_id % 17 = 5 THEN 'not_an_object' END AS reason FROM shaped)"""
+
+
+def corpus_files(shape: str, new: dict[str, str]) -> str:
+    lines = " UNION ALL ".join(f"SELECT line FROM {name}" for name in new)
+    tables = ", ".join(f"{name} AS ({sql})" for name, sql in new.items())
+    return f"""WITH {existing_lines(shape)}, {tables}, fresh AS ({lines})
+SELECT 'new' AS corpus, CAST(NULL AS VARCHAR) AS reason, line FROM fresh UNION ALL SELECT 'merged', NULL, line FROM fresh
+UNION ALL SELECT 'merged', reason, line FROM existing"""
+
+
 ORACLES: dict[str, str] = {
-    "read_text_docs": f"SELECT doc_id // 100 AS bucket, string_agg(text || {_NL}, '' ORDER BY doc_id) AS text FROM documents GROUP BY ALL",
-    "read_equation_json": f"""WITH {ENTRIES} SELECT bucket, CAST(row_number() OVER (PARTITION BY bucket ORDER BY p_partkey, pos) - 1 AS BIGINT) AS pos, equation, description
+    "read_text_docs": f"""SELECT 'folder=' || CAST(doc_id % 16 AS VARCHAR) AS key_folder, true AS key_ends_in_name, doc_id % 16 AS folder,
+  string_agg(text || {_NL}, '' ORDER BY doc_id) AS text FROM documents GROUP BY doc_id % 16, doc_id // 1600""",
+    "text_rejects": """SELECT 'folder=' || CAST(doc_id % 16 AS VARCHAR) AS key_folder, true AS key_ends_in_name, 'not_utf8' AS reason
+  FROM documents WHERE doc_id % 16 % 5 = 2 GROUP BY doc_id % 16, doc_id // 1600""",
+    "jsonl_rejects": f"WITH {existing_lines('pretraining')} SELECT reason, line FROM existing WHERE reason IS NOT NULL",
+    "read_equation_json": f"""WITH {ENTRIES} SELECT CAST(row_number() OVER (PARTITION BY bucket ORDER BY p_partkey, pos) - 1 AS BIGINT) AS pos, equation, description
 FROM (SELECT p_partkey // 200 AS bucket, p_partkey, pos, j ->> 'equation' AS equation, j ->> 'description' AS description FROM entries) WHERE bucket % 5 <> 4""",
     "read_jsonl": "SELECT text FROM documents",
     "page_chunks": f"""WITH {PAGES} SELECT doc_id, (page_no - 1) // 10 + 1 AS chunk_no,
@@ -185,7 +207,8 @@ FROM (SELECT doc_id, text, CASE WHEN doc_id % 7 = 0 THEN 'error' WHEN doc_id % 1
   CAST(CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts, CASE WHEN doc_id % 21 <> 0 THEN text END AS completion FROM documents""",
     "pending_only": """SELECT doc_id, n_chars, task FROM documents, (VALUES ('rag'), ('cpt')) AS t(task)
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = documents.doc_id AND task = CASE WHEN l.quality = 1 THEN 'rag' ELSE 'cpt' END)""",
-    "ingest_new": f"SELECT line FROM documents, {_LINES} WHERE line <> ''",
+    "ingest_new": f"""SELECT 'drop=' || CAST(doc_id % 16 % 2 AS VARCHAR) || '/folder=' || CAST(doc_id % 16 AS VARCHAR) AS folder, line
+  FROM documents, {_LINES} WHERE line <> ''""",
     "validate_records": f"""WITH {QA} SELECT batch, CAST(coalesce(n, 0) AS BIGINT) AS n_rows, coalesce(ok, false) AS valid
 FROM (SELECT DISTINCT conv_id // 2 AS batch FROM conversations)
 LEFT JOIN (SELECT conv_id // 2 AS batch, count(*) AS n, bool_and(length(answer) >= 40) AS ok FROM pairs GROUP BY 1) USING (batch)""",
@@ -215,6 +238,15 @@ UNION ALL SELECT 2, text FROM (WITH {SYNTH} SELECT text FROM pieces) UNION ALL S
     "ft_corpus": f"""SELECT 0::BIGINT AS source_ord, question, answer FROM (WITH {PAIRS} SELECT question, answer FROM turn_pairs)
 UNION ALL SELECT 1, question, answer FROM (WITH {RENDERED} SELECT question, answer FROM rendered)
 UNION ALL SELECT 2, question, answer FROM (WITH {QA} SELECT question, answer FROM pairs)""",
+    "cpt_corpus_files": corpus_files("pretraining", {
+        "equations": f"SELECT CAST(json_object('text', text) AS VARCHAR) AS line FROM (WITH {RENDERED} SELECT text FROM rendered)",
+        "synthetic": f"SELECT CAST(json_object('text', text) AS VARCHAR) AS line FROM (WITH {SYNTH} SELECT text FROM pieces)",
+        "sections": f"SELECT CAST(json_object('text', text) AS VARCHAR) AS line FROM (WITH {CPT} SELECT text FROM sections)",
+    }),
+    "ft_corpus_files": corpus_files("finetuning", {
+        "equations": f"SELECT CAST({_FT_JSON} AS VARCHAR) AS line FROM (WITH {RENDERED} SELECT question, answer FROM rendered)",
+        "qa": f"SELECT CAST({_FT_JSON} AS VARCHAR) AS line FROM (WITH {QA} SELECT question, answer FROM pairs)",
+    }),
     "write_jsonl": f"WITH {PAIRS} SELECT question, answer FROM turn_pairs",
     "equation_json_docs": f"WITH {ENTRIES} SELECT p_partkey, completion AS json FROM valid WHERE completion <> '[]'",
     "write_text_docs": f"""WITH {DOCS} SELECT name, task || ':1:' || text AS text, task FROM docs, (VALUES ('rag'), ('cpt')) AS t(task)""",

@@ -13,8 +13,8 @@ from leafmill.operators.incremental import pending_only
 from leafmill.operators.requests import Task, chat_requests, synth_prompts
 from leafmill.plans import jobs
 from leafmill.session import scratch_path
-from leafmill.sources import readers, writers
-from leafmill.streaming.ingest import ingest_new
+from leafmill.sources import lines, readers, writers
+from leafmill.streaming.ingest import ingest_new, read_ingested
 
 from . import stubs, views
 
@@ -23,7 +23,7 @@ QUERIES: dict[str, Query] = {}
 
 PROMPTS = {name: f"Prompt for {name}." for name in ("rag", "cpt", "qa", "equations", "synthetic")}
 TEMPLATE = "Rewrite these sources.\n"
-DOCS_PER_FILE = 100
+FOLDERS, DOCS_PER_FILE = 16, 100
 
 
 def query(fn: Query) -> Query:
@@ -37,18 +37,37 @@ def big(column: str | F.Column) -> F.Column:
 
 # Sources
 
-def _write_text_files(docs: DataFrame, path: str) -> None:
-    """Files of 100 documents each, a document per paragraph, in folders named by their bucket."""
-    bucketed = docs.select(F.expr(f"doc_id div {DOCS_PER_FILE}").alias("bucket"), "doc_id", "text")
-    ordered = bucketed.repartition("bucket").sortWithinPartitions("bucket", "doc_id")
-    ordered.select("bucket", "text").write.partitionBy("bucket").text(path)
+def _write_text_files(docs: DataFrame, path: str, bad_folders: str = "false") -> None:
+    """Files of 100 documents each, a document per paragraph, in 16 folders. A file in one of ``bad_folders`` begins with
+    a byte that is not UTF-8."""
+    folder = (F.col("doc_id") % FOLDERS).alias("folder")
+    chunk = F.expr(f"doc_id div {FOLDERS * DOCS_PER_FILE}").alias("chunk")
+    files = docs.groupBy(folder, chunk).agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("docs"))
+    text = F.array_join(F.transform("docs", lambda d: d["text"]), "\n")
+    bad = F.concat(F.unhex(F.lit("FF")).cast("string"), text)
+    files.select("folder", F.when(F.expr(bad_folders), bad).otherwise(text).alias("value")).write.partitionBy("folder").option(
+        "maxRecordsPerFile", 1).text(path)
+
+
+def _folder_and_name(df: DataFrame) -> DataFrame:
+    """A key without its last part, and whether that is the file's name."""
+    folder = F.regexp_replace("key", "/[^/]*$", "")
+    return df.withColumns({"key_folder": folder, "key_ends_in_name": F.col("key") == F.concat(folder, F.lit("/"), "name")})
 
 
 @query
 def read_text_docs(spark, sf_dir):
+    """Files of equal names lie in several folders; their keys tell them apart."""
     path = scratch_path(spark, "texts")
     _write_text_files(views.documents(spark, sf_dir), path)
-    return readers.read_text_docs(spark, path).select(big("bucket").alias("bucket"), "text")
+    return _folder_and_name(readers.read_text_docs(spark, path)).select("key_folder", "key_ends_in_name", big("folder").alias("folder"), "text")
+
+
+@query
+def text_rejects(spark, sf_dir):
+    path = scratch_path(spark, "texts")
+    _write_text_files(views.documents(spark, sf_dir), path, "folder % 5 = 2")
+    return _folder_and_name(readers.text_rejects(spark, path)).select("key_folder", "key_ends_in_name", "reason")
 
 
 @query
@@ -59,17 +78,14 @@ def read_equation_json(spark, sf_dir):
     files = (
         entries.select(F.expr("p_partkey div 200").alias("bucket"), F.struct("p_partkey", "pos", "entry").alias("e"))
         .groupBy("bucket").agg(F.sort_array(F.collect_list("e")).alias("es"))
-        .select("bucket", F.concat(
+        .select(F.concat(
             F.lit("["), F.array_join(F.transform("es", lambda e: e["entry"]), ","),
             F.when(F.col("bucket") % 5 == 4, F.lit("")).otherwise(F.lit("]")),
         ).alias("value"))
     )
-    files.write.partitionBy("bucket").text(path)
-    read = parsing.equation_entries(readers.read_text_docs(spark, path), "text")
-    return read.select(
-        big("bucket").alias("bucket"), "pos", F.col("fields")["equation"].alias("equation"),
-        F.col("fields")["description"].alias("description"),
-    )
+    files.write.option("maxRecordsPerFile", 1).text(path)
+    read = readers.read_equation_json(spark, path, suffix=".txt")
+    return read.select("pos", F.col("fields")["equation"].alias("equation"), F.col("fields")["description"].alias("description"))
 
 
 @query
@@ -205,19 +221,32 @@ def pending_only_tasks(spark, sf_dir):
 QUERIES["pending_only"] = QUERIES.pop("pending_only_tasks")
 
 
+def _age(spark, folder: str) -> None:
+    """Make a file of a folder look a month old."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listFiles(path, True)
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName().endswith(".txt"):
+            files.setTimes(status.getPath(), status.getModificationTime() - 30 * 86_400_000, -1)
+            return
+
+
 @query
 def ingest_new_files(spark, sf_dir):
-    """Two drops of text files; the second run adds only the files of the second drop."""
+    """Two drops of text files, one of the second with an old time; the second run adds the files of the second drop."""
     root = scratch_path(spark, "ingest")
     docs = views.documents(spark, sf_dir)
-    bucket = F.expr(f"doc_id div {DOCS_PER_FILE}")
     for drop in (0, 1):
-        _write_text_files(docs.where(bucket % 2 == drop), f"{root}/landing/drop={drop}")
+        _write_text_files(docs.where(F.col("doc_id") % FOLDERS % 2 == drop), f"{root}/landing/drop={drop}")
+        _age(spark, f"{root}/landing/drop={drop}")
         ingest_new(
-            spark, f"{root}/landing", f"{root}/out", f"{root}/state",
-            lambda batch: batch.select(F.explode(F.split("text", "\n")).alias("line")).where("line != ''"),
+            spark, f"{root}/landing", f"{root}/out", f"{root}/ledger",
+            lambda batch: batch.select(
+                F.regexp_replace("key", "/[^/]*$", "").alias("folder"), F.explode(F.split("text", "\n")).alias("line")).where("line != ''"),
         )
-    return spark.read.parquet(f"{root}/out").select("line")
+    return read_ingested(spark, f"{root}/out", f"{root}/ledger").select("folder", "line")
 
 
 QUERIES["ingest_new"] = QUERIES.pop("ingest_new_files")
@@ -381,6 +410,56 @@ def ft_corpus(spark, sf_dir):
     return _flat(corpus, "source_ord")
 
 
+def _existing_lines(spark, sf_dir, record) -> str:
+    """A corpus of line files as they come: records with keys of their own, odd ones, and lines that hold none."""
+    path = scratch_path(spark, "existing")
+    docs = views.table(spark, sf_dir, "documents", "doc_id", "text")
+    json = records.as_json(record(F.col("text")))
+    extra = F.concat(F.expr("substring(json, 1, length(json) - 1)"), F.lit(', "id" : '), F.col("doc_id").cast("string"), F.lit(" }"))
+    line = (
+        F.when(F.col("doc_id") % 13 == 5, F.expr("substring(json, 1, 9)"))
+        .when(F.col("doc_id") % 11 == 5, F.concat(F.lit('{"note":'), F.col("doc_id").cast("string"), F.lit("}")))
+        .when(F.col("doc_id") % 17 == 5, F.concat(F.lit("["), "json", F.lit("]")))
+        .when(F.col("doc_id") % 3 == 0, extra).otherwise(F.col("json"))
+    )
+    docs.withColumn("json", json).select(line.alias("value")).write.text(path)
+    return path
+
+
+def _written_corpora(spark, existing: str, new: list[str]):
+    """The lines of the new-only and of the merged corpus, with those kept apart."""
+    made = None
+    for which, sources in (("new", new), ("merged", [existing, *new])):
+        path = scratch_path(spark, which)
+        lines.write_lines(lines.merged_lines(spark, sources), path)
+        kept = lines.written_records(spark, path).select(F.lit(which).alias("corpus"), F.lit(None).cast("string").alias("reason"), "line")
+        apart = lines.written_rejects(spark, path).select(F.lit(which).alias("corpus"), "reason", "line")
+        made = kept.unionAll(apart) if made is None else made.unionAll(kept).unionAll(apart)
+    return made
+
+
+@query
+def cpt_corpus_files(spark, sf_dir):
+    """Line files merged with each line as it is."""
+    new = [scratch_path(spark, "new") for _ in range(3)]
+    for made, path in zip((equation_pretraining, synth_pieces, cpt_sections), new):
+        writers.write_jsonl(made(spark, sf_dir), path, ["text"])
+    return _written_corpora(spark, _existing_lines(spark, sf_dir, records.to_pretraining), new)
+
+
+@query
+def ft_corpus_files(spark, sf_dir):
+    new = [scratch_path(spark, "new") for _ in range(2)]
+    for made, path in zip((equation_finetuning, qa_pairs), new):
+        writers.write_jsonl(_messages(made(spark, sf_dir)), path, ["messages"])
+    return _written_corpora(spark, _existing_lines(spark, sf_dir, lambda text: records.to_finetuning(text, F.lit("yes"))), new)
+
+
+@query
+def jsonl_rejects(spark, sf_dir):
+    return lines.jsonl_rejects(spark, _existing_lines(spark, sf_dir, records.to_pretraining)).select("reason", "line")
+
+
 @query
 def write_jsonl(spark, sf_dir):
     path = scratch_path(spark, "records")

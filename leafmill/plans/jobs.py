@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import records
 from ..functions.records import to_finetuning
 from ..operators.assemble import assemble_pages, combine_documents, page_chunks
 from ..operators.chunking import (
@@ -22,12 +21,13 @@ from ..operators.chunking import (
 from ..operators.completion import Completer, complete
 from ..operators.equations import equation_datasets, typed_entries
 from ..operators.incremental import pending_only
-from ..operators.merging import batch_verdicts, cpt_corpus, ft_corpus
+from ..operators.merging import batch_verdicts
 from ..operators.parsing import cpt_sections, equation_entries, equation_json_docs, qa_pairs, synth_pieces
 from ..operators.reports import dataset_stats
 from ..operators.requests import Task, chat_requests, prompt_requests, synth_prompts
 from ..session import path_exists
-from ..sources.readers import read_jsonl, read_lines
+from ..sources.lines import merged_lines, write_lines, written_records
+from ..sources.readers import read_lines
 from ..sources.writers import write_json_text, write_jsonl, write_text_docs
 
 log = logging.getLogger(__name__)
@@ -81,11 +81,6 @@ class Workspace:
     def texts(self, task: str) -> DataFrame:
         return self.completions(task).select("name", F.col("completion").alias("text"))
 
-    def lines(self, name: str, schema: str) -> DataFrame | None:
-        """A JSONL folder of this workspace, or None if it does not exist."""
-        folder = self.path(name)
-        return read_jsonl(self.spark, folder, schema) if path_exists(self.spark, folder) else None
-
 
 def _pending(ws: Workspace, work: DataFrame, done: DataFrame, key: list[str], task: str, resume: bool) -> DataFrame:
     """What is left to do. A first run has nothing to compare with and takes its rows as they come."""
@@ -180,29 +175,26 @@ def job_synthetic(
     return pieces
 
 
+def _merge_files(ws: Workspace, folders: Sequence[str], new: str, merged: str, existing: str | None, strict: bool) -> DataFrame:
+    """The new lines as ``new`` and, if there is an existing corpus, that and the new lines as ``merged``."""
+    parts = [ws.path(f) if path_exists(ws.spark, ws.path(f)) else None for f in folders]
+    write_lines(merged_lines(ws.spark, parts, strict), ws.path(new))
+    if existing is None:
+        return written_records(ws.spark, ws.path(new))
+    write_lines(merged_lines(ws.spark, [existing, *parts], strict), ws.path(merged))
+    return written_records(ws.spark, ws.path(merged))
+
+
 def build_cpt(ws: Workspace, existing: str | None = None, strict: bool = False) -> DataFrame:
-    """The pre-training corpus from whatever the earlier jobs left, after an existing one if given."""
-    merged = cpt_corpus(
-        ws.lines("formatted_equations/dataset=pretraining", records.PRETRAINING),
-        ws.lines("synthetic_data", records.PRETRAINING),
-        ws.lines("cpt_text", records.PRETRAINING),
-        existing=read_jsonl(ws.spark, existing, records.PRETRAINING) if existing else None,
-        strict=strict,
-    )
-    write_jsonl(merged, ws.path("pretraining_corpus"), ["text"])
-    return merged
+    """The pre-training corpus from whatever the earlier jobs left: the folder ``new_pretraining`` and, after the lines
+    of an existing corpus, ``merged_cpt``. Gives the lines of the last one. No line is parsed and written anew."""
+    folders = ["formatted_equations/dataset=pretraining", "synthetic_data", "cpt_text"]
+    return _merge_files(ws, folders, "new_pretraining", "merged_cpt", existing, strict)
 
 
 def build_ft(ws: Workspace, existing: str | None = None, strict: bool = False) -> DataFrame:
-    """The fine-tuning corpus, in the same way."""
-    merged = ft_corpus(
-        ws.lines("formatted_equations/dataset=finetuning", records.FINETUNING),
-        ws.lines("qa_pairs", records.FINETUNING),
-        existing=read_jsonl(ws.spark, existing, records.FINETUNING) if existing else None,
-        strict=strict,
-    )
-    write_jsonl(merged, ws.path("finetuning_corpus"), ["messages"])
-    return merged
+    """The fine-tuning corpus, in the same way: ``new_finetuning`` and ``merged_finetuning``."""
+    return _merge_files(ws, ["formatted_equations/dataset=finetuning", "qa_pairs"], "new_finetuning", "merged_finetuning", existing, strict)
 
 
 def workspace_stats(ws: Workspace) -> DataFrame:

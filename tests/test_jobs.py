@@ -110,15 +110,20 @@ def test_all_steps_and_a_failing_one(spark, workspace, tmp_path):
     pages = spark.createDataFrame([("d", n, f"page {n} " + "z" * 120) for n in range(1, 13)], "doc_id string, page_no bigint, markdown string")
     old = tmp_path / "old"
     old.mkdir()
-    (old / "a.json").write_text('{"text": "old record"}\n')
+    existing = ['{"text": "old record"}', '{"id": 7,  "text": "kept \\u00e9", "tags": ["a"]}', '{"note": 1}']
+    (old / "a.json").write_text("\n".join([*existing, '{"text": "cut']))
     stats, states = jobs.job_all(workspace(), pages, existing_cpt=str(old))
     assert set(states.values()) == {"done"} and list(states) == list(jobs.STEPS)
     counts = {r.dataset: r.n_lines for r in stats.collect()}
     assert counts["equations_ft"] == counts["equations_cpt"] == counts["synthetic"] == 2
-    corpus = [json.loads(l)["text"] for f in (tmp_path / "ws/pretraining_corpus").glob("*.json") for l in f.read_text().splitlines()]
-    assert corpus.count("old record") == 1
-    n_tuned = sum(len(f.read_text().splitlines()) for f in (tmp_path / "ws/finetuning_corpus").glob("*.json"))
-    assert n_tuned == counts["equations_ft"] + counts["qa_pairs"]
+    read = lambda name, kind="records": [
+        l for f in sorted((tmp_path / "ws" / name / f"kind={kind}").glob("*.txt")) for l in f.read_text().splitlines()]
+    new, merged = read("new_pretraining"), read("merged_cpt")
+    assert merged[:3] == existing and merged[3:] == new
+    (reject,) = map(json.loads, read("merged_cpt", "rejects"))
+    assert (reject["line"], reject["reason"], reject["source_ord"], reject["key"]) == ('{"text": "cut', "invalid_json", 0, "a.json")
+    assert len(read("new_finetuning")) == counts["equations_ft"] + counts["qa_pairs"]
+    assert not (tmp_path / "ws" / "merged_finetuning").exists()
     assert jobs.job_all(workspace(), steps=["combine"])[1] == {"combine": "done"}
     combined = spark.read.parquet(str(tmp_path / "ws/tables/combined_text")).first().text
     assert combined.startswith("# d_part_1\n\n\n# Page 1\npage 1 ") and "\n\n# d_part_2\n" in combined
