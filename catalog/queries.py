@@ -505,8 +505,7 @@ def backup_manifest(spark, sf_dir):
 # Jobs
 
 def _workspace(spark):
-    cores = spark.sparkContext.defaultParallelism
-    return jobs.Workspace(spark, scratch_path(spark, "job"), stubs.corpus_writer, PROMPTS, partitions=cores)
+    return jobs.Workspace(spark, scratch_path(spark, "job"), stubs.corpus_writer, PROMPTS)
 
 
 def _named(spark, sf_dir):
@@ -515,12 +514,12 @@ def _named(spark, sf_dir):
 
 @query
 def job_rag_cpt(spark, sf_dir):
-    return jobs.job_rag_cpt(_workspace(spark), _named(spark, sf_dir))
+    return jobs.job_rag_cpt(_workspace(spark), _named(spark, sf_dir)).drop("key")
 
 
 @query
 def job_equations(spark, sf_dir):
-    return jobs.job_equations(_workspace(spark), _named(spark, sf_dir))
+    return jobs.job_equations(_workspace(spark), _named(spark, sf_dir)).drop("key")
 
 
 @query

@@ -1,8 +1,11 @@
 """The corpus-building jobs: operators chained over a working folder.
 
-Every job writes completions before it parses them, because calls cost money and must not be repeated
-by recomputation. A job that is run again asks only for what is not stored yet; ``resume=False`` asks
-for everything again and replaces the stored rows of its task.
+Every job writes its requests once and stores the answers slice by slice before it parses them, because calls cost
+money and must not be repeated by recomputation (``answers.AnswerStore``). A job that is run again asks only for what
+is not stored yet; ``resume=False`` asks for everything again and replaces the stored answers of its task.
+
+A document is known by its ``key`` if it has one (``read_text_docs`` gives the path below the folder), else by its
+name. What a job cannot use is kept with the reason in a table of rejects.
 """
 
 from __future__ import annotations
@@ -18,24 +21,21 @@ from ..operators.assemble import assemble_pages, combine_documents, page_chunks
 from ..operators.chunking import (
     MAX_CHUNK_TOKENS, MAX_OUTPUT_TOKENS, MAX_REQUEST_TOKENS, fixed_batches, token_budget, token_chunks,
 )
-from ..operators.completion import Completer, complete
-from ..operators.equations import equation_datasets, typed_entries
-from ..operators.incremental import pending_only
+from ..operators.completion import Completer
+from ..operators.equations import equation_datasets, render_rejects, typed_entries
 from ..operators.merging import batch_verdicts
-from ..operators.parsing import cpt_sections, equation_entries, equation_json_docs, qa_pairs, synth_pieces
+from ..operators.parsing import cpt_sections, equation_json_docs, parsed_equations, qa_pairs, synth_pieces
 from ..operators.reports import dataset_stats
 from ..operators.requests import Task, chat_requests, prompt_requests, synth_prompts
+from ..operators.rows import compute_once
 from ..session import path_exists
 from ..sources.lines import merged_lines, write_lines, written_records
 from ..sources.readers import read_lines
-from ..sources.writers import write_json_text, write_jsonl, write_text_docs
+from ..sources.writers import write_json_text, write_jsonl
+from .answers import AnswerStore, with_key
 
 log = logging.getLogger(__name__)
 
-COMPLETION = (
-    "name STRING, model STRING, temperature DOUBLE, max_tokens INT, prompt_hash BIGINT, "
-    "completion STRING, status STRING, attempts INT, error STRING, task STRING"
-)
 STEPS = ("assemble", "rag", "equations", "synth", "qa", "gen_cpt", "gen_ft")
 
 
@@ -50,7 +50,8 @@ class Workspace:
     model: str = "default"
     max_attempts: int = 1
     calls_per_task: int = 1
-    partitions: int | None = None
+    buckets: int = 16
+    slices: int = 4
     validators: dict[str, Callable[[str], bool]] = field(default_factory=dict)
     tasks: dict[str, Task] = field(init=False)
 
@@ -68,87 +69,79 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(f"tables/{name}"))
         return self.spark.read.schema(df.schema).parquet(self.path(f"tables/{name}"))
 
-    def asked(self, task: str) -> bool:
-        return path_exists(self.spark, self.path(f"completions/task={task}"))
+    def answers(self, task: str) -> AnswerStore:
+        return AnswerStore(self.spark, self.path(f"answers/{task}"), self.buckets, self.slices)
 
     def completions(self, task: str) -> DataFrame:
-        """Stored completions of a task that succeeded; none before the first run."""
-        if not self.asked(task):
-            return self.spark.createDataFrame([], COMPLETION)
-        stored = self.spark.read.schema(COMPLETION).parquet(self.path("completions"))
-        return stored.where((F.col("task") == task) & (F.col("status") == "ok"))
+        """Stored answers of a task that succeeded; none before the first run."""
+        return self.answers(task).good()
 
     def texts(self, task: str) -> DataFrame:
-        return self.completions(task).select("name", F.col("completion").alias("text"))
-
-
-def _pending(ws: Workspace, work: DataFrame, done: DataFrame, key: list[str], task: str, resume: bool) -> DataFrame:
-    """What is left to do. A first run has nothing to compare with and takes its rows as they come."""
-    return pending_only(work, done, key, force=not resume or not ws.asked(task), keys_first=True)
-
-
-def _ask(ws: Workspace, requests: DataFrame, task: str, resume: bool) -> None:
-    """Complete the requests of a task, with its validator if there is one, and store the answers."""
-    answers = complete(
-        requests, ws.make_fn, max_attempts=ws.max_attempts, validate=ws.validators.get(task),
-        calls_per_task=ws.calls_per_task, partitions=ws.partitions,
-    )
-    write_text_docs(answers, ws.path("completions"), ("task",), replace=not resume)
+        return self.completions(task).select("key", "name", F.col("completion").alias("text"))
 
+    def ask(self, requests: DataFrame, task: str, resume: bool, **options) -> AnswerStore:
+        """Store the missing answers of a task, with its validator if there is one."""
+        store = self.answers(task)
+        store.ask(
+            requests, self.make_fn, resume, max_attempts=self.max_attempts, validate=self.validators.get(task),
+            calls_per_task=self.calls_per_task, **options,
+        )
+        return store
 
-def ask_documents(ws: Workspace, docs: DataFrame, task: str, done: DataFrame | None = None, resume: bool = True) -> None:
-    """Ask one task about the documents (``name, text``) that have no stored answer.
 
-    The answers of a call are stored together when it ends. To risk less, call it for one slice of the
-    documents after the other: each slice is safe once stored.
-    """
-    done = ws.completions(task) if done is None else done
-    pending = _pending(ws, docs.select("name", "text"), done, ["name"], task, resume)
-    _ask(ws, chat_requests(pending, [ws.tasks[task]]), task, resume)
+def ask_documents(
+    ws: Workspace, docs: DataFrame, task: str, done: Callable[[DataFrame], DataFrame] = lambda good: good, resume: bool = True
+) -> None:
+    """Ask one task about the documents (``key, name, text``) that have no good answer, whatever its prompt was."""
+    ws.ask(chat_requests(with_key(docs, ["name", "text"]), [ws.tasks[task]]), task, resume, done=done)
 
 
 def ask_current(ws: Workspace, requests: DataFrame, task: str, resume: bool = True) -> DataFrame:
-    """Answers to exactly these requests: ``name, completion``.
+    """Answers to exactly these requests: ``key, name, completion``.
 
     A stored answer counts only if its prompt is the same, so a changed text is asked about again and
-    the answer to its old form is left out. The joins are on unique keys.
+    the answer to its old form is left out. A first run has no other answers to leave out.
     """
-    key = ["name", "prompt_hash"]
-    _ask(ws, _pending(ws, requests, ws.completions(task), key, task, resume), task, resume)
-    return ws.completions(task).join(requests.select(*key), key, "left_semi").select("name", "completion")
+    first = not resume or not ws.answers(task).asked()
+    store = ws.ask(requests, task, resume, per_prompt=True)
+    return (store.good() if first else store.answers_to_requests()).select("key", "name", "completion")
 
 
 def job_rag_cpt(ws: Workspace, docs: DataFrame, resume: bool = True) -> DataFrame:
     """A RAG and a CPT text per document, each only if missing; gives the CPT sections."""
     for task in ("rag", "cpt"):
         ask_documents(ws, docs, task, resume=resume)
-    sections = ws.keep(cpt_sections(ws.completions("cpt").select("name", "completion")), "cpt_sections")
-    write_jsonl(sections, ws.path("cpt_text"), ["text"], order_by=["name", "pos"])
+    sections = ws.keep(cpt_sections(ws.completions("cpt").select("key", "name", "completion")), "cpt_sections")
+    write_jsonl(sections, ws.path("cpt_text"), ["text"], order_by=["key", "pos"])
     return sections
 
 
 def job_equations(ws: Workspace, docs: DataFrame, resume: bool = True, include_conversations: bool = True) -> DataFrame:
     """Equation entries of each text and the datasets rendered from them.
 
-    A document counts as done once an answer parsed to something; others are asked again.
+    A document counts as done once an answer parsed to something; others are asked again. Every answer is parsed
+    once, into the table ``equation_parsed``; what is no entry is in ``equation_rejects``, and an entry without
+    a text of some dataset in ``render_rejects``, both with the reason.
     """
-    stored = ws.completions("equations").select("name", "completion")
-    ask_documents(ws, docs, "equations", done=equation_json_docs(stored), resume=resume)
-    answers = ws.completions("equations").select("name", "completion")
-    made = equation_datasets(typed_entries(equation_entries(answers)), include_conversations)
-    rendered = ws.keep(made, "equation_records")
+    ask_documents(ws, docs, "equations", done=equation_json_docs, resume=resume)
+    answers = ws.completions("equations").select("key", "name", "completion")
+    parsed = ws.keep(parsed_equations(answers), "equation_parsed")
+    ws.keep(parsed.where("reason is not null").drop("fields"), "equation_rejects")
+    typed = ws.keep(typed_entries(parsed.where("reason is null").drop("reason")), "equation_entries")
+    ws.keep(render_rejects(typed), "render_rejects")
+    rendered = ws.keep(equation_datasets(typed, include_conversations), "equation_records")
     write_json_text(rendered, ws.path("formatted_equations"), "json", ("dataset",))
     return rendered
 
 
 def job_qa(ws: Workspace, docs: DataFrame, resume: bool = True) -> DataFrame:
     """Question-answer records of each text, with a verdict per document in the table ``qa_verdicts``."""
-    requests = chat_requests(docs.select("name", "text"), [ws.tasks["qa"]])
-    pairs = qa_pairs(ask_current(ws, requests, "qa", resume))
+    keyed = with_key(docs, ["name", "text"])
+    pairs = qa_pairs(ask_current(ws, chat_requests(keyed, [ws.tasks["qa"]]), "qa", resume))
     messages = to_finetuning(F.col("question"), F.col("answer"))["messages"].alias("messages")
-    made = ws.keep(pairs.select("name", "pos", messages), "qa_records")
-    write_jsonl(made, ws.path("qa_pairs"), ["messages"], order_by=["name", "pos"])
-    ws.keep(batch_verdicts(docs, made, "name"), "qa_verdicts")
+    made = ws.keep(pairs.select("key", "name", "pos", messages), "qa_records")
+    write_jsonl(made, ws.path("qa_pairs"), ["messages"], order_by=["key", "pos"])
+    ws.keep(batch_verdicts(ws.answers("qa").requests(), made, "key"), "qa_verdicts")
     return made
 
 
@@ -161,15 +154,22 @@ def job_synthetic(
     max_output: int = MAX_OUTPUT_TOKENS,
     resume: bool = True,
 ) -> DataFrame:
-    """Synthetic pieces from the token chunks of the texts, as far as their prompts fit the budget."""
+    """Synthetic pieces from the token chunks of the texts, as far as their prompts fit the budget.
+
+    Prompts over it are not asked; they stay in the table of requests and are listed in ``over_budget_rejects``.
+    """
     batches = fixed_batches(
-        docs.select("name", "text"), batch_size, ["name"], ["name", "text"],
+        with_key(docs, ["name", "text"]), batch_size, ["key"], ["name", "text"],
         expand=lambda placed: token_chunks(placed, chunk_tokens),
     )
-    prompts = token_budget(synth_prompts(batches, ws.prompts["synthetic"]), "prompt", max_request, max_output)
-    fitting = prompts.where(~F.col("over_budget")).select(F.col("batch_idx").cast("string").alias("name"), "prompt")
-    answers = ask_current(ws, prompt_requests(fitting, ws.tasks["synthetic"]), "synthetic", resume)
-    numbered = answers.select(F.col("name").cast("bigint").alias("batch_idx"), "completion")
+    prompts = compute_once(synth_prompts(batches, ws.prompts["synthetic"]), {"prompt": F.col("prompt")})
+    counted = token_budget(prompts, "prompt", max_request, max_output)
+    batch = F.col("batch_idx").cast("string")
+    requests = prompt_requests(counted.select(batch.alias("key"), batch.alias("name"), "n_tokens", "over_budget", "prompt"), ws.tasks["synthetic"])
+    answers = ask_current(ws, requests, "synthetic", resume)
+    ws.keep(ws.answers("synthetic").over_budget().select(
+        F.col("key").cast("bigint").alias("batch_idx"), "n_tokens", F.lit("over_budget").alias("reason")), "over_budget_rejects")
+    numbered = answers.select(F.col("key").cast("bigint").alias("batch_idx"), "completion")
     pieces = ws.keep(synth_pieces(numbered), "synthetic_pieces")
     write_jsonl(pieces, ws.path("synthetic_data"), ["text"], order_by=["batch_idx", "pos"])
     return pieces

@@ -96,7 +96,7 @@ def test_qa_verdicts(spark, workspace):
     ws = workspace(lambda request, attempt: "no pairs" if request["messages"][1]["content"].startswith("b") else "Q1: q\nA1: a")
     assert jobs.job_qa(ws, docs(spark, "a", "b")).count() == 1
     verdicts = spark.read.parquet(ws.path("tables/qa_verdicts")).collect()
-    assert {r.name: r.valid for r in verdicts} == {"a": True, "b": False}
+    assert {r.key: r.valid for r in verdicts} == {"a": True, "b": False}
 
 
 def test_a_validator_makes_a_task_try_again(spark, workspace):
