@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from .views import EQUATION_SQL, TURNS_PER_COMPLETION
+from leafmill.functions.tokens import TOKEN
+
+from .views import EQUATION_SQL, SCRIPTS, TURNS_PER_COMPLETION
 
 # Fixed value: Python's white space, as in leafmill.functions.text.
 _SPACE_CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 _SPACES = " || ".join(f"chr({c})" for c in _SPACE_CODES)
-_TOKEN = r"'[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+'"
+_TOKEN = f"'{TOKEN}'"  # a pattern that both engines read alike
 _NL = "chr(10)"
 
 
@@ -121,8 +123,8 @@ chunks AS (SELECT * EXCLUDE (name), CASE WHEN n_chunks > 1 THEN name || ' (chunk
   name AS doc FROM cut)"""
 
 
-def prompts(size: int, batch: int, template: str, order: str) -> str:
-    return f"""{DOCS}, {chunks(size)},
+def prompts(size: int, batch: int, template: str, order: str, docs: str = DOCS) -> str:
+    return f"""{docs}, {chunks(size)},
 placed AS (SELECT *, row_number() OVER (ORDER BY {order}, chunk_no) - 1 AS idx FROM chunks),
 prompts AS (SELECT CAST(idx // {batch} AS BIGINT) AS batch_idx, {template}
   || string_agg('Source Document ' || CAST(idx + 1 AS VARCHAR) || ' (' || name || '):' || {_NL} || {strip('text')} || {_NL} || {_NL}, '' ORDER BY idx)
@@ -151,7 +153,11 @@ _COMPLETE = "SELECT doc_id, 'rag' AS task, CASE WHEN doc_id % 7 = 0 THEN 'error'
 _DOWN = "RuntimeError: service unavailable"
 PAIR_JSON = "SELECT conv_id, turn, CAST({} AS VARCHAR) AS json FROM turn_pairs"
 _FT_JSON = "json_object('messages', json_array(json_object('role', 'user', 'content', question), json_object('role', 'assistant', 'content', answer)))"
-_EQ_DOC = f"""{DOCS}, lengths AS (SELECT name, 'E_{{' || CAST(length(text) AS VARCHAR) || '}}' AS equation, text AS description FROM docs)"""
+EQUATIONS_OF_DOCS = f"""lengths AS (SELECT name, 'E_{{' || CAST(length(text) AS VARCHAR) || '}}' AS equation, text AS description FROM docs),
+equation_records AS (SELECT name, 0::BIGINT AS pos, dataset, CAST(json AS VARCHAR) AS json FROM (
+  SELECT name, 'pretraining' AS dataset, json_object('text', 'The equation $' || equation || '$ represents ' || lower(description) || ' In this equation, $n$ is the length. ') AS json FROM lengths
+  UNION ALL SELECT name, 'finetuning', {_FT_JSON.replace('question', "'What does the equation $' || equation || '$ represent?'").replace('answer', f"description || ' The symbols in this equation represent:' || {_NL} || '• $n$: Length' || {_NL}")} FROM lengths
+  UNION ALL SELECT name, 'conversation', json_object('input', 'What does the following equation represent?' || {_NL} || {_NL} || equation, 'response', description) FROM lengths))"""
 _LINES = "unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(line, ord)"
 
 
@@ -172,6 +178,38 @@ SELECT 'new' AS corpus, CAST(NULL AS VARCHAR) AS reason, line FROM fresh UNION A
 UNION ALL SELECT 'merged', reason, line FROM existing"""
 
 
+def digest(output: str, table: str, *columns: str) -> str:
+    parts = ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"""SELECT 'output' AS kind, '{output}' AS name, count(*) AS n, CAST(sum(CAST('0x' || md5(concat_ws(chr(31), {parts}))[:15] AS BIGINT)) % {1 << 60} AS BIGINT) AS digest,
+  CAST(NULL AS VARCHAR) AS state FROM {table}"""
+
+
+def job_all() -> str:
+    """All outputs of the job, made from the pages; then their lines and digests, and the states of the steps."""
+    docs = f"""{PAGES}, docs AS (SELECT CAST(doc_id AS VARCHAR) || '_part_' || CAST((page_no - 1) // 10 + 1 AS VARCHAR) AS name,
+  string_agg({_NL} || {_NL} || '# Page ' || CAST((page_no - 1) % 10 + 1 AS VARCHAR) || {_NL} || markdown, '' ORDER BY page_no) AS text
+  FROM doc_pages GROUP BY doc_id, (page_no - 1) // 10)"""
+    pieces = f"""pieces AS (SELECT batch_idx, 0::BIGINT AS pos, {strip('prompt')} AS text FROM prompts WHERE len(regexp_extract_all(prompt, {_TOKEN})) <= 5000),
+qa AS (SELECT name, CAST(ord - 1 AS BIGINT) AS pos, CAST({_FT_JSON.replace('question', strip("'line ' || line")).replace('answer', "'see above'")} AS VARCHAR) AS json FROM docs, {_LINES})"""
+    lines = """new_pretraining AS (SELECT json AS line FROM equation_records WHERE dataset = 'pretraining'
+  UNION ALL SELECT CAST(json_object('text', text) AS VARCHAR) FROM pieces UNION ALL SELECT CAST(json_object('text', text) AS VARCHAR) FROM sections),
+new_finetuning AS (SELECT json AS line FROM equation_records WHERE dataset = 'finetuning' UNION ALL SELECT json FROM qa)"""
+    counts = " UNION ALL ".join(
+        f"SELECT 'lines' AS kind, '{name}' AS name, count(*) AS n, CAST(NULL AS BIGINT) AS digest, CAST(NULL AS VARCHAR) AS state FROM {table}"
+        for name, table in {
+            "equations_ft": "equation_records WHERE dataset = 'finetuning'", "equations_cpt": "equation_records WHERE dataset = 'pretraining'",
+            "qa_pairs": "qa", "synthetic": "pieces",
+        }.items())
+    steps = ", ".join(f"('{step}')" for step in ("assemble", "rag", "equations", "synth", "qa", "gen_cpt", "gen_ft"))
+    digests = " UNION ALL ".join([
+        digest("page_texts", "docs", "name", "text"), digest("cpt_sections", "sections", "name", "pos", "text"),
+        digest("equation_records", "equation_records", "name", "pos", "dataset", "json"), digest("synthetic_pieces", "pieces", "batch_idx", "pos", "text"),
+        digest("qa_records", "qa", "name", "pos", "json"), digest("new_pretraining", "new_pretraining", "line"), digest("new_finetuning", "new_finetuning", "line"),
+    ])
+    return f"""WITH {prompts(1500, 1, "'Prompt for synthetic.'", "doc", docs)}, {sections('name', 'docs', _CPT_RESPONSE)}, {EQUATIONS_OF_DOCS}, {pieces}, {lines}
+{counts} UNION ALL SELECT 'step', step, NULL, NULL, 'done' FROM (VALUES {steps}) AS t(step) UNION ALL {digests}"""
+
+
 ORACLES: dict[str, str] = {
     "read_text_docs": f"""SELECT 'folder=' || CAST(doc_id % 16 AS VARCHAR) AS key_folder, true AS key_ends_in_name, doc_id % 16 AS folder,
   string_agg(text || {_NL}, '' ORDER BY doc_id) AS text FROM documents GROUP BY doc_id % 16, doc_id // 1600""",
@@ -190,6 +228,22 @@ FROM (SELECT p_partkey // 200 AS bucket, p_partkey, pos, j ->> 'equation' AS equ
   string_agg({_NL} || {_NL} || '# Page ' || CAST((page_no - 1) % 10 + 1 AS VARCHAR) || {_NL} || markdown, '' ORDER BY page_no) AS text FROM doc_pages GROUP BY 1, 2""",
     "combine_documents": combined("doc_id"),
     "combine_documents_by_name": combined("name"),
+    "combine_documents_by_bytes": f"""WITH {DOCS}, sized AS (SELECT *, strlen('# ' || name || {_NL} || text) + 2 AS b FROM docs),
+placed AS (SELECT *, CAST(b > 3000 AS BIGINT) AS large, row_number() OVER w - 1 AS r, coalesce(sum(b) OVER p, 0) AS before,
+  coalesce(sum(CAST(b > 3000 AS BIGINT)) OVER p, 0) AS larges FROM sized
+  WINDOW w AS (PARTITION BY source ORDER BY doc_id), p AS (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+parts AS (SELECT *, dense_rank() OVER (PARTITION BY source ORDER BY r // 25, before // 3000, 2 * larges + large) - 1 AS part_no FROM placed)
+SELECT source, part_no, count(*) AS n_docs, string_agg('# ' || name || {_NL} || text, {_NL} || {_NL} ORDER BY r) AS text FROM parts GROUP BY source, part_no""",
+    "token_units": f"""WITH texts AS ({" UNION ALL ".join(f"SELECT doc_id, '{n}' AS name, translate(text, '{a}', '{b}') AS text FROM documents" for n, a, b in SCRIPTS)}
+UNION ALL SELECT doc_id, 'run', left(repeat(replace(replace(text[:200], ' ', '_'), {_NL}, '_') || '-', CAST(100000 // (length(text[:200]) + 1) + 1 AS BIGINT)), 100000)
+  FROM documents WHERE doc_id % 50 = 0), {chunks(50, 'texts')}
+SELECT doc_id, name, chunk_no, n_chunks, length(text) AS n_chars, md5(text) AS md5 FROM chunks""",
+    "over_budget_rejects": f"""WITH {prompts(400, 1, "'Prompt for synthetic.'", "doc")}, counted AS (SELECT batch_idx, CAST(len(regexp_extract_all(prompt, {_TOKEN})) AS BIGINT) AS n_tokens FROM prompts)
+SELECT batch_idx, n_tokens, 'over_budget' AS reason FROM counted WHERE n_tokens > 300""",
+    "render_rejects": """SELECT doc_id, 0::BIGINT AS pos, CASE WHEN doc_id % 5 > 1 THEN 'x' END AS equation,
+  CASE doc_id % 5 WHEN 1 THEN 'missing_equation' WHEN 2 THEN 'null_description' END AS pretraining_reason,
+  CASE doc_id % 5 WHEN 1 THEN 'missing_equation' WHEN 2 THEN 'null_description' ELSE 'symbol_not_object' END AS finetuning_reason
+FROM documents WHERE doc_id % 5 IN (1, 2, 3)""",
     "token_count": f"SELECT doc_id, CAST(len(regexp_extract_all(text, {_TOKEN})) AS BIGINT) AS n_tokens FROM documents",
     "token_chunks": f"WITH {DOCS}, {chunks(50)} SELECT doc_id, name, chunk_no, n_chunks, text FROM chunks",
     "fixed_batches": f"""WITH {DOCS}, placed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM docs)
@@ -255,17 +309,9 @@ LEFT JOIN (SELECT lang AS dataset, count(*) FILTER (length({strip('line')}) > 0)
     "output_manifest": manifest(),
     "backup_manifest": manifest("WHERE lower(string_split(name, '.')[2]) IN ('pdf', 'txt', 'json', 'jsonl')"),
     "job_rag_cpt": f"WITH {DOCS}, {sections('name', 'docs', _CPT_RESPONSE)} SELECT * FROM sections",
-    "job_equations": f"""WITH {_EQ_DOC} SELECT name, 0::BIGINT AS pos, dataset, CAST(json AS VARCHAR) AS json FROM (
-  SELECT name, 'pretraining' AS dataset, json_object('text', 'The equation $' || equation || '$ represents ' || lower(description) || ' In this equation, $n$ is the length. ') AS json FROM lengths
-  UNION ALL SELECT name, 'finetuning', {_FT_JSON.replace('question', "'What does the equation $' || equation || '$ represent?'").replace('answer', f"description || ' The symbols in this equation represent:' || {_NL} || '• $n$: Length' || {_NL}")} FROM lengths
-  UNION ALL SELECT name, 'conversation', json_object('input', 'What does the following equation represent?' || {_NL} || {_NL} || equation, 'response', description) FROM lengths)""",
+    "job_equations": f"WITH {DOCS}, {EQUATIONS_OF_DOCS} SELECT name, pos, dataset, json FROM equation_records",
     "job_qa": f"""WITH {DOCS} SELECT name, CAST(ord - 1 AS BIGINT) AS pos, {strip("'line ' || line")} AS question, 'see above' AS answer FROM docs, {_LINES}""",
     "job_synthetic": f"""WITH {prompts(400, 1, "'Prompt for synthetic.'", "doc")} SELECT batch_idx, 0::BIGINT AS pos, {strip('prompt')} AS text FROM prompts
 WHERE len(regexp_extract_all(prompt, {_TOKEN})) <= 5000""",
-    "job_all": f"""WITH {PAGES}, assembled AS (SELECT doc_id, CAST(doc_id AS VARCHAR) || '_part_' || CAST((page_no - 1) // 10 + 1 AS VARCHAR) AS name,
-  string_agg({_NL} || {_NL} || '# Page ' || CAST((page_no - 1) % 10 + 1 AS VARCHAR) || {_NL} || markdown, '' ORDER BY page_no) AS text FROM doc_pages GROUP BY 1, 2),
-tokens AS (SELECT len(regexp_extract_all(text, {_TOKEN})) AS n FROM assembled)
-SELECT 'equations_ft' AS dataset, count(*) AS n_lines FROM assembled UNION ALL SELECT 'equations_cpt', count(*) FROM assembled
-UNION ALL SELECT 'qa_pairs', CAST(sum(len(string_split(text, {_NL}))) AS BIGINT) FROM assembled
-UNION ALL SELECT 'synthetic', CAST(sum(ceil(n / 1500)) AS BIGINT) FROM tokens""",
+    "job_all": job_all(),
 }

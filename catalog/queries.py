@@ -134,8 +134,32 @@ def combine_documents_by_name(spark, sf_dir):
     return assemble.combine_documents(views.documents(spark, sf_dir, "source"), "source", "name", docs_per_part=25)
 
 
+@query
+def combine_documents_by_bytes(spark, sf_dir):
+    """Parts of at most 6000 bytes, or of one longer document."""
+    return assemble.combine_documents(views.documents(spark, sf_dir, "source"), "source", "doc_id", docs_per_part=25, max_bytes=6000)
+
+
 # Tokens, chunks, batches
 
+def _script_texts(spark, sf_dir):
+    """Each text in Han and in Thai characters, and some as one run of 100 000 characters without a blank."""
+    docs = views.table(spark, sf_dir, "documents", "doc_id", "text")
+    scripts = [(name, F.translate("text", letters, signs)) for name, letters, signs in views.SCRIPTS]
+    made = [F.struct(F.lit(n).alias("name"), t.alias("text")) for n, t in scripts]
+    short = F.substring("text", 1, 200)
+    run = F.left(F.repeat(F.concat(F.translate(short, " \n", "__"), F.lit("-")), F.expr("100000 div (length(substring(text, 1, 200)) + 1) + 1")), F.lit(100_000))
+    some = F.when(F.col("doc_id") % 50 == 0, F.struct(F.lit("run").alias("name"), run.alias("text")))
+    return docs.select("doc_id", F.explode(F.array(*made, some)).alias("t")).where("t is not null").select("doc_id", "t.name", "t.text")
+
+
+@query
+def token_units(spark, sf_dir):
+    """Chunks of texts without blanks; no token has more than 32 characters."""
+    chunks = chunking.token_chunks(_script_texts(spark, sf_dir), max_tokens=50)
+    return chunks.select("doc_id", "name", "chunk_no", "n_chunks", big(F.length("text")).alias("n_chars"), F.md5("text").alias("md5"))
+
+
 @query
 def token_count(spark, sf_dir):
     return chunking.with_token_count(views.documents(spark, sf_dir)).select("doc_id", "n_tokens")
@@ -156,9 +180,7 @@ def fixed_batches(spark, sf_dir):
 
 def _synth_prompts(spark, sf_dir):
     batches = chunking.fixed_batches(
-        views.documents(spark, sf_dir), 3, ["doc_id"], ["name", "text"],
-        expand=lambda placed: chunking.token_chunks(placed, 400),
-    )
+        views.documents(spark, sf_dir), 3, ["doc_id"], ["name", "text"], chunk_tokens=400)
     return synth_prompts(batches, TEMPLATE)
 
 
@@ -505,7 +527,7 @@ def backup_manifest(spark, sf_dir):
 # Jobs
 
 def _workspace(spark):
-    return jobs.Workspace(spark, scratch_path(spark, "job"), stubs.corpus_writer, PROMPTS)
+    return jobs.Workspace(spark, scratch_path(spark, "job"), stubs.corpus_writer, PROMPTS, buckets=8, slices=2)
 
 
 def _named(spark, sf_dir):
@@ -532,7 +554,35 @@ def job_synthetic(spark, sf_dir):
     return jobs.job_synthetic(_workspace(spark), _named(spark, sf_dir), chunk_tokens=400)
 
 
+@query
+def over_budget_rejects(spark, sf_dir):
+    ws = _workspace(spark)
+    jobs.job_synthetic(ws, _named(spark, sf_dir), chunk_tokens=400, max_request=600, max_output=300)
+    return spark.read.parquet(ws.path("tables/over_budget_rejects"))
+
+
+def _odd_entries(spark, sf_dir):
+    """Entries of which some lack what a text or a pair needs."""
+    docs = views.table(spark, sf_dir, "documents", "doc_id", "text")
+    equation = F.when(F.col("doc_id") % 5 == 1, F.lit('{"description":"none"}')).when(
+        F.col("doc_id") % 5 == 2, F.lit('{"equation":"x","description":null}')).when(
+        F.col("doc_id") % 5 == 3, F.lit('{"equation":"x","symbols":{"a":null}}')).otherwise(F.lit('{"equation":"x","description":"y"}'))
+    return equations.typed_entries(parsing.equation_entries(docs.select("doc_id", equation.alias("completion"))))
+
+
+@query
+def render_rejects(spark, sf_dir):
+    return equations.render_rejects(_odd_entries(spark, sf_dir)).select("doc_id", "pos", "equation", "pretraining_reason", "finetuning_reason")
+
+
 @query
 def job_all(spark, sf_dir):
-    stats, _ = jobs.job_all(_workspace(spark), views.doc_pages(spark, sf_dir))
-    return stats
+    """Lines per data set, the state of each step, and the content of each output. Page numbers have gaps."""
+    gaps = views.doc_pages(spark, sf_dir).withColumn("page_no", F.col("page_no") * 7 - F.col("page_no") % 3)
+    ws = _workspace(spark)
+    stats, states = jobs.job_all(ws, gaps)
+    none = F.lit(None).cast("bigint")
+    rows = stats.select(F.lit("lines").alias("kind"), F.col("dataset").alias("name"), F.col("n_lines").alias("n"), none.alias("digest"), F.lit(None).cast("string").alias("state"))
+    steps = spark.createDataFrame(list(states.items()), "name string, state string")
+    rows = rows.unionAll(steps.select(F.lit("step"), "name", none, none, "state"))
+    return rows.unionAll(jobs.workspace_digests(ws).select(F.lit("output"), "output", "n_rows", "digest", F.lit(None).cast("string")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -10,18 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer splits than cores, such as a file of one row group.
-
-    A table of many files has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+# Letters and what stands for them in a script without blanks; the blank goes too.
+LETTERS = "abcdefghijklmnopqrstuvwxyz "
+SCRIPTS = [
+    ("han", LETTERS, "一丁七万丈三上下不与丑专且世丘丙业丛东丝丢两严丧个中串"),
+    ("thai", LETTERS, "กขคงจฉชซญฎฏฐฑฒณดตถทธนบปผฝพฟ"),
+]
 
 
 def documents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """``doc_id, name, text`` and any other columns asked for."""
-    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text", *extra))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", *extra)
     return docs.withColumn("name", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
 
 
@@ -33,7 +34,7 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cpt_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     body = F.replace("text", F.lit("\n"), F.lit("\n## "))
     return docs.select("doc_id", F.concat(F.lit("## "), body, F.lit(' "end"\\')).alias("completion"))
 
@@ -71,7 +72,7 @@ def qa_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def synth_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headed, headed in lower case without number, and not headed."""
-    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     digit = (F.col("doc_id") % 10).cast("string")
     numbered = F.replace("text", F.lit("\n"), F.concat(F.lit("\n=== SYNTHETIC CONTENT "), digit, F.lit(" ===\n")))
     completion = (
@@ -99,9 +100,12 @@ FROM (SELECT p_partkey, '{"equation":"  P_{' || CAST(p_partkey AS STRING) || '}
 
 
 def equation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spread(table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand"))
-    part.createOrReplaceTempView("leafmill_part")
-    return spark.sql(EQUATION_SQL.replace("{part}", "leafmill_part"))
+    part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand")
+    name = f"part_{uuid.uuid4().hex}"
+    part.createOrReplaceTempView(name)
+    made = spark.sql(EQUATION_SQL.replace("{part}", name))
+    spark.catalog.dropTempView(name)
+    return made
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:

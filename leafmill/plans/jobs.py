@@ -16,16 +16,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.records import to_finetuning
-from ..operators.assemble import assemble_pages, combine_documents, page_chunks
+from ..functions.records import as_json, to_finetuning
+from ..operators.assemble import assemble_pages, combine_documents, page_chunks, page_positions
 from ..operators.chunking import (
-    MAX_CHUNK_TOKENS, MAX_OUTPUT_TOKENS, MAX_REQUEST_TOKENS, fixed_batches, token_budget, token_chunks,
+    MAX_CHUNK_TOKENS, MAX_OUTPUT_TOKENS, MAX_REQUEST_TOKENS, fixed_batches, token_budget,
 )
 from ..operators.completion import Completer
 from ..operators.equations import equation_datasets, render_rejects, typed_entries
 from ..operators.merging import batch_verdicts
 from ..operators.parsing import cpt_sections, equation_json_docs, parsed_equations, qa_pairs, synth_pieces
-from ..operators.reports import dataset_stats
+from ..operators.reports import content_digest, dataset_stats
 from ..operators.requests import Task, chat_requests, prompt_requests, synth_prompts
 from ..operators.rows import compute_once
 from ..session import path_exists
@@ -159,9 +159,7 @@ def job_synthetic(
     Prompts over it are not asked; they stay in the table of requests and are listed in ``over_budget_rejects``.
     """
     batches = fixed_batches(
-        with_key(docs, ["name", "text"]), batch_size, ["key"], ["name", "text"],
-        expand=lambda placed: token_chunks(placed, chunk_tokens),
-    )
+        with_key(docs, ["name", "text"]), batch_size, ["key"], ["name", "text"], chunk_tokens)
     prompts = compute_once(synth_prompts(batches, ws.prompts["synthetic"]), {"prompt": F.col("prompt")})
     counted = token_budget(prompts, "prompt", max_request, max_output)
     batch = F.col("batch_idx").cast("string")
@@ -208,6 +206,26 @@ def workspace_stats(ws: Workspace) -> DataFrame:
     return dataset_stats(read_lines(ws.spark, folders), list(folders))
 
 
+def workspace_digests(ws: Workspace) -> DataFrame:
+    """``output, n_rows, digest`` of every table and corpus that is there, each without regard to order."""
+    tables = {
+        "page_texts": ["name", "text"], "cpt_sections": ["key", "pos", "text"], "equation_records": ["key", "pos", "dataset", "json"],
+        "synthetic_pieces": ["batch_idx", "pos", "text"], "qa_records": ["key", "pos", "json"],
+    }
+    made = ws.spark.createDataFrame([], "output string, n_rows bigint, digest bigint")
+    for name, columns in tables.items():
+        if path_exists(ws.spark, ws.path(f"tables/{name}")):
+            rows = ws.spark.read.parquet(ws.path(f"tables/{name}"))
+            if name == "qa_records":
+                rows = rows.withColumn("json", as_json(F.struct("messages")))
+            made = made.unionAll(content_digest(rows, *columns).select(F.lit(name).alias("output"), "n_rows", "digest"))
+    for name in ("new_pretraining", "merged_cpt", "new_finetuning", "merged_finetuning"):
+        if path_exists(ws.spark, ws.path(f"{name}/kind=records")):
+            digest = content_digest(written_records(ws.spark, ws.path(name)), "line")
+            made = made.unionAll(digest.select(F.lit(name).alias("output"), "n_rows", "digest"))
+    return made
+
+
 def job_all(
     ws: Workspace,
     pages: DataFrame | None = None,
@@ -225,7 +243,7 @@ def job_all(
     """
 
     def assemble() -> None:
-        chunks = assemble_pages(page_chunks(pages, pages_per_chunk))
+        chunks = assemble_pages(page_chunks(page_positions(pages), pages_per_chunk))
         ws.keep(chunks.select(F.col("chunk_name").alias("name"), "text"), "page_texts")
 
     def combine() -> None:

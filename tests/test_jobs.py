@@ -2,6 +2,7 @@ import dataclasses
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import stubs
 from leafmill.plans import jobs
@@ -135,3 +136,41 @@ def test_a_failing_step_does_not_stop_the_rest(spark, workspace):
     stats, states = jobs.job_all(workspace(), None, steps=["rag", "equations", "gen_cpt"])
     assert states["rag"].startswith("error") and states["equations"] == "done"
     assert {r.dataset: r.n_lines for r in stats.collect()}["qa_pairs"] is None
+
+
+def test_entries_in_are_records_and_rejects(spark, workspace):
+    """Every entry of every answer is in a data set or, with its reason, in a table of rejects."""
+    answers = {"a": '[{"equation": "x", "description": "d"}, 5, {"description": "no equation"}]', "b": "not json",
+               "c": '[{"equation": "y", "description": "d", "symbols": {"s": null}}]'}
+    ws = workspace(lambda request, attempt: answers[request["messages"][1]["content"][0]])
+    made = jobs.job_equations(ws, docs(spark, "a", "b", "c"))
+    table = lambda name: spark.read.parquet(ws.path(f"tables/{name}"))
+    assert {(r.key, r.pos, r.reason) for r in table("equation_rejects").collect()} == {("a", 1, "not_an_object"), ("b", 0, "invalid_json")}
+    entries, rejects = table("equation_entries").count(), table("render_rejects")
+    assert entries == 3
+    for dataset, reason in (("pretraining", "pretraining_reason"), ("finetuning", "finetuning_reason")):
+        assert made.where(F.col("dataset") == dataset).count() + rejects.where(F.col(reason).isNotNull()).count() == entries
+    jobs.job_synthetic(ws, docs(spark, "a", "b"), chunk_tokens=4, max_request=2, max_output=1)
+    over, asked = table("over_budget_rejects"), ws.answers("synthetic")
+    assert over.count() == asked.requests().count() > 0 and asked.stored().count() == 0
+    assert {r.reason for r in over.collect()} == {"over_budget"}
+
+
+def test_pages_with_gaps_make_one_chunk(spark, workspace):
+    pages = spark.createDataFrame([("d", n, f"page {n}") for n in (5, 9, 10, 11, 12, 40)], "doc_id string, page_no bigint, markdown string")
+    ws = workspace()
+    assert jobs.job_all(ws, pages, steps=["assemble"])[1] == {"assemble": "done"}
+    (row,) = spark.read.parquet(ws.path("tables/page_texts")).collect()
+    assert row.name == "d_part_1" and [l for l in row.text.splitlines() if l.startswith("page")] == [f"page {n}" for n in (5, 9, 10, 11, 12, 40)]
+
+
+def test_a_broken_step_changes_a_digest(spark, workspace):
+    ws = workspace()
+    pages = spark.createDataFrame([("d", n, f"page {n} " + "z" * 120) for n in range(1, 4)], "doc_id string, page_no bigint, markdown string")
+    jobs.job_all(ws, pages)
+    before = {r.output: (r.n_rows, r.digest) for r in jobs.workspace_digests(ws).collect()}
+    assert len(before) == 7
+    ws.keep(spark.read.parquet(ws.path("tables/cpt_sections")).replace({"d_part_1": "other"}, subset=["key"]), "other")
+    spark.read.parquet(ws.path("tables/other")).write.mode("overwrite").parquet(ws.path("tables/cpt_sections"))
+    after = {r.output: (r.n_rows, r.digest) for r in jobs.workspace_digests(ws).collect()}
+    assert {k for k in before if before[k] != after[k]} == {"cpt_sections"}
