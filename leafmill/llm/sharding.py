@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.numbering import number_rows, running_sum
 from ..session import materialize
+from .ordering import number_rows, running_sum
 
 SHARDS = 8
 #: Capacities checked in one pass over the ends of the groups: each round splits the range by one more.
