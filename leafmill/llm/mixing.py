@@ -86,7 +86,9 @@ def schedule(docs: DataFrame, budget: int | None, target_entropy: float | None,
     exponent = find_exponent(sources, sources.count(), budget / total, target_entropy, max_repeats)
     z = _measures(sources, [exponent], budget / total)[0][0]
     weight = F.pow("share", F.lit(exponent)) / F.lit(z)
-    quotas = sources.withColumn("weight", F.round(weight, 12)).withColumn("quota", F.floor(F.col("weight") * budget))
+    # Rounded, so that exponent 1 with the table's own tokens as budget takes every source exactly once.
+    quotas = sources.withColumn("weight", weight).withColumn("quota", F.round(F.col("weight") * budget).cast("bigint"))
+    quotas = quotas.withColumn("weight", F.round("weight", 12))
     # One row per source, epoch and block: the last epoch is the one that the quota does not fill.
     epochs = quotas.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("quota div tokens"))))
     same = epochs["source"].eqNullSafe(blocks["source"])
@@ -97,16 +99,21 @@ def schedule(docs: DataFrame, budget: int | None, target_entropy: float | None,
     return taken.select("source", "block", "weight", "epoch", ((F.col("end") - F.col("n")) / F.col("quota")).alias("at"))
 
 
+#: How often a source may be repeated where the caller sets no limit: a source of a few words is not taken a million times.
+MOST_REPEATS = 16.0
+
+
 def mix_sources(
-    docs: DataFrame, budget: int | None = None, target_entropy: float | None = None, max_repeats: float | None = None,
+    docs: DataFrame, budget: int | None = None, target_entropy: float | None = None, max_repeats: float | None = MOST_REPEATS,
     source: str = "source", key: str = "doc_id", tokens: str | Column | None = None, seed: int = 0, details: bool = True,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it, with ``weight, block, epoch, mix_at``.
 
     ``budget`` is in tokens, by default those of the table; ``tokens`` counts those of a row, by default the
     words of ``text``. Ordering by ``mix_at`` interleaves the sources so that any stretch has the target
-    weights. A budget is kept to within a block, of which a source has ``BLOCKS`` by hash of ``key``; it is
-    never exceeded. A null source is a source; one without tokens is never taken; rows without tokens come
+    weights. A source's share of the budget is kept to within a block, of which it has ``BLOCKS`` by hash of
+    ``key``, and not exceeded; with exponent 1 and no other budget every row comes once. Sources repeat at most
+    ``max_repeats`` times, which comes before the entropy; a budget so large that no exponent keeps to it is kept. A null source is a source; one without tokens is never taken; rows without tokens come
     with their block; repeated rows are rows of their own. With ``details=False`` only the columns of ``docs``
     come out, else existing columns of the new names are replaced. No tokens or an empty table give no row.
     """

@@ -19,7 +19,10 @@ URL_RULES = [
     Rule(BLOCK, "net"), Rule(ALLOW, "example.net", "/en/"), Rule(BLOCK, "example.com", "/de/"), Rule(ALLOW, "org", "/fr/"),
     Rule(BLOCK, glob="*.cheap-pills.**"), Rule(BLOCK, glob="*.spam-farm.**"),
 ]
+#: The pipeline's mixture and that of the query. The sources of the given tables have an entropy of 0.996 to 0.9997 of the
+#: largest possible, so only a target above that bends their shares.
 TARGET_ENTROPY, MAX_REPEATS = 0.95, 4.0
+QUERY_ENTROPY = 0.9999
 SURROGATE_KEY = b"a key of the user's own"
 
 
@@ -47,7 +50,7 @@ def op1_temperature_mixing(spark, sf_dir):
     """Each document as often as the mixture takes it: ``doc_id, source, n_tokens, weight, block, epoch, mix_at``."""
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     counted = materialize(docs.select("doc_id", "source", mixing.word_count("text").alias("n_tokens")), "mix-counts")
-    return mixing.mix_sources(counted, target_entropy=TARGET_ENTROPY, max_repeats=MAX_REPEATS, tokens="n_tokens")
+    return mixing.mix_sources(counted, target_entropy=QUERY_ENTROPY, max_repeats=MAX_REPEATS, tokens="n_tokens")
 
 
 @query
