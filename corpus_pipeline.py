@@ -6,7 +6,7 @@ All but the last keep the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.llm import decontaminate, language, mixing, ngram_join, token_files
 from leafmill.llm.queries import MAX_REPEATS, TARGET_ENTROPY, tokenizer_definition
@@ -22,8 +22,9 @@ ORACLE_SQL = None
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is learnt from the labelled ones; the rest go. Labels stay as they are."""
     samples = language.labelled_samples(docs.where(~language.held_out()))
-    judged = language.identify(docs, samples)
-    return judged.where((judged["lang_pred"] != language.UNKNOWN) & (judged["score"] >= LEAST_SCORE)).select(*docs.columns)
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")  # no column of the documents is overwritten
+    judged = language.identify(packed, samples, drop=("text",))
+    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("_row.*")
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,6 +52,32 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+def broadcast_parts(spark, value: object):
+    """A broadcast of an object's plain parts. The object's class is known to tasks by their code alone, which a
+    broadcast does not carry: workers without this package could not read it. ``from_parts`` makes the object again."""
+    return spark.sparkContext.broadcast(vars(value))
+
+
+def from_parts(kind: type, held) -> object:
+    value = object.__new__(kind)
+    vars(value).update(held.value)
+    return value
+
+
+def release() -> None:
+    """Give back what earlier tasks of other operators left in this Python worker, before a task takes memory of its own."""
+    import ctypes
+    import gc
+
+    sys.modules.pop("_leafmill_tokens", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The texts of a column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from .arrow import Splitter, Words, append_columns, groups, utf8, windows
+from .arrow import Splitter, Words, append_columns, broadcast_parts, from_parts, groups, release, utf8, windows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -100,13 +100,13 @@ def mark_contamination(
     they came in, repeated ones too: a null or empty text has no words and is clean, a null item id or item
     text gives no window, repeated items count once. Columns of the new names are replaced.
     """
-    sc = docs.sparkSession.sparkContext
     state = "_hit_words bigint, _hit_bits binary, _hit_items array<string>"
     df = docs.withColumns({"_hit_bits": F.lit(None).cast("binary"), "_hit_items": F.lit(None).cast("array<string>")})
 
     def scanning(held):
         def make():
-            known, splitter = held.value, Splitter(SEPARATORS, fold=True)
+            release()
+            known, splitter = from_parts(WindowSet, held), Splitter(SEPARATORS, fold=True)
 
             def fn(batch):
                 texts = utf8(batch.column(text))
@@ -129,7 +129,7 @@ def mark_contamination(
 
     blocks = item_blocks(items, n, block_words, item_id, item_text)
     for block in (next(blocks, WindowSet([], n)), *blocks):
-        df = append_columns(df, state, scanning(sc.broadcast(block)))
+        df = append_columns(df, state, scanning(broadcast_parts(docs.sparkSession, block)))
 
     def judging():
         def fn(batch):

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .arrow import append_columns, groups
+from .arrow import append_columns, broadcast_parts, from_parts, groups, release
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -22,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SAMPLE_DOCS, DOC_CHARS, SAMPLE_CHARS = 96, 512, 24_000
 #: Symbols parsed in one go. Texts are cut into stretches of so many, all of which are parsed.
 STRETCH = 512
+#: Bytes of text that are parsed together; the arrays made on the way take some ten times as much.
+GROUP_BYTES = 1 << 21
 UNKNOWN = "und"
 
 # A-Z as a-z, and a blank for every other ASCII byte that is no letter.
@@ -137,17 +139,18 @@ def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", dro
     text without samples. Ties go to the language that sorts first. Existing columns of these names are replaced.
     The samples are small by their documented bounds and are broadcast as automata.
     """
-    held = docs.sparkSession.sparkContext.broadcast(CrossParser(samples) if samples else None)
+    held = broadcast_parts(docs.sparkSession, CrossParser(samples)) if samples else None
 
     def make():
-        parser = held.value
+        release()
+        parser = None if held is None else from_parts(CrossParser, held)
 
         def fn(batch):
             texts = batch.column(text).to_pylist()
             langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             spoken = [i for i, t in enumerate(texts) if parser is not None and has_letter(t)]
             sized = [texts[i].encode() for i in spoken]
-            for first, end in groups(sized, 1 << 23):
+            for first, end in groups(sized, GROUP_BYTES):
                 own = spoken[first:end]
                 costs = parser.costs([texts[i] for i in own])
                 best = costs.argmin(0)
