@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .arrow import WHITE_SPACE, Splitter, groups, mix, signed, utf8
+from .arrow import WHITE_SPACE, Splitter, groups, mix, release, signed, utf8
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,6 +39,11 @@ FOLDED = 16  # 64-bit words of the folded sketch
 #: Rows of one segment value that are compared with each other at a time; larger groups are split into blocks.
 BLOCK = 1024
 NARROW = 8  # 64-bit words of the sketch that goes with them
+#: Shingles from which on that sketch says too little: of two unrelated sets it shows some 250 differing bits, and
+#: the bound reaches that. Longer sets bring the sketch as wide as they need.
+LONG_SET = 700
+#: Partners, the least ones, that a set is compared with in the first round; all others are left to the second.
+FIRST_PARTNERS = 3
 #: Sets that a broadcast of their keys may hold (8 bytes each); more are joined by a shuffle.
 BROADCAST_KEYS = 4_000_000
 
@@ -129,14 +134,43 @@ def wide_distance(a: bytes | None, b: bytes | None) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _near_in_groups(batches):
+def _forest(x: np.ndarray, y: np.ndarray, own: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """The places of those pairs (x, y) that join two trees of labels; ``own`` is the label of a row. Updates ``parent``."""
+    a, b = parent[own[x]], parent[own[y]]
+    apart = np.flatnonzero(a != b)
+    if not len(apart):
+        return apart
+    _, first = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)))[:, apart], axis=1, return_index=True)
+    chosen = []
+    for k in apart[first].tolist():
+        u, v = int(a[k]), int(b[k])
+        while parent[u] != u:
+            u = int(parent[u])
+        while parent[v] != v:
+            v = int(parent[v])
+        if u != v:
+            parent[max(u, v)] = min(u, v)
+            chosen.append(k)
+    while (parent[parent] != parent).any():
+        parent[:] = parent[parent]
+    return np.array(chosen, np.int64)
+
+
+def _forest_in_groups(batches):
+    """Of the near pairs of ``_near_in_groups`` a spanning forest of the labels: never more pairs than rows."""
+    yield from _near_in_groups(batches, forest=True)
+
+
+def _near_in_groups(batches, forest: bool = False):
     """Pairs (a, b) of one group, of different labels, whose sketches are near. The rows come group by group:
-    key, i, j, own (block of the row), node, label, n, then the words of the sketch."""
+    key, i, j, own (block of the row), node, label, n, then the words of the sketch and the wide one of long sets."""
     def compare(c):
         group = np.concatenate(([0], np.cumsum(np.any([x[1:] != x[:-1] for x in c[:3]], axis=0))))
         longest = int(np.bincount(group).max())
         _, i, j, own, node, label, n = c[:7]
-        words, found = np.stack(c[7:], axis=1).view(np.uint64), []
+        words, wide, found = np.stack(c[7:-1], axis=1).view(np.uint64), c[-1], []
+        own_label = np.unique(label, return_inverse=True)[1]
+        parent = np.arange(int(own_label.max()) + 1)
         for step in range(1, longest):
             x = np.flatnonzero((group[step:] == group[:-step]) & (label[step:] != label[:-step]))
             y = x + step
@@ -145,6 +179,14 @@ def _near_in_groups(batches):
             x, y = x[fits], y[fits]
             near = 9 * np.bitwise_count(words[x] ^ words[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y]
             x, y = x[near], y[near]
+            long_ = np.flatnonzero(np.minimum(n[x], n[y]) > LONG_SET)
+            if len(long_):
+                limit = (n[x] + n[y]).tolist()
+                far = [k for k in long_.tolist() if 9 * wide_distance(wide[x[k]], wide[y[k]]) > limit[k]]
+                x, y = np.delete(x, far), np.delete(y, far)
+            if forest:
+                joins = _forest(x, y, own_label, parent)
+                x, y = x[joins], y[joins]
             if len(x):
                 found.append(np.stack((np.minimum(node[x], node[y]), np.maximum(node[x], node[y])), axis=1))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
@@ -152,7 +194,7 @@ def _near_in_groups(batches):
 
     held, rows = [], 0
     for batch in batches:
-        held.append([batch.column(k).to_numpy() for k in range(batch.num_columns)])
+        held.append([batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)])
         rows += batch.num_rows
         if rows < 16 * BLOCK:
             continue
@@ -168,6 +210,7 @@ def _near_in_groups(batches):
 
 def _make_rows(names: list[str], kinds: list[pa.DataType], text: str, size: int, row):
     def run(batches):
+        release()
         splitter, seen = Splitter(WHITE_SPACE, fold=True), set()
         for batch in batches:
             sets = shingle_sets(utf8(batch.column(text)), splitter, size)
@@ -275,9 +318,11 @@ def components(links: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents with their sets (``doc_id, n_shingles, node``) and all links that join the components of sets.
 
-    Two rounds suffice. First every set of a segment value is compared with the least one; then, wherever one
-    value still holds sets of several components, the sketches of these sets are compared across components
-    inside the tasks, block by block, and only near pairs become rows. Pairs inside one component change nothing.
+    First every set is compared with the least ones that it shares a segment value with. Then, wherever one value still
+    holds sets of several components, the sketches of these sets are compared across components inside the tasks,
+    block by block: in a first pass each task sends on a spanning forest of what looks near, which joins large groups
+    of near copies with few pairs; in the last pass every near pair not yet tested. Pairs inside one component
+    change nothing.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     run = _make_rows(["doc_id", "n", "node", "s", "wide"], [LONG, LONG, LONG, LONGS, pa.binary()], "text", size, _doc_row)
@@ -302,23 +347,28 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
     met = shared.select("node").distinct()
     sketches = materialize(first.join(met, "node", "left_semi"), "met-sketches")
     least = shared.groupBy("key").agg(F.min("node").alias("a"))
-    pairs = shared.join(least, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    pairs = shared.join(least, "key").where("node != a").groupBy(F.col("node").alias("b")).agg(F.collect_set("a").alias("a"))
+    pairs = pairs.select(F.explode(F.slice(F.sort_array("a"), 1, FIRST_PARTNERS)).alias("a"), "b")
     links = _verified(texts, sketches, pairs, size)
 
-    labels = components(links)
-    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).where("x != y")
-    open_rows = materialize(labelled.join(mixed.select("key", "c"), "key"), "open")
     narrow = [F.col(f"s{i}").bitwiseXOR(F.col(f"s{i + NARROW}")).alias(f"f{i}") for i in range(NARROW)]
-    blocks = F.ceil(F.col("c") / BLOCK)
-    dealt = open_rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    dealt = dealt.join(sketches.select("node", "n", *narrow), "node").select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", *[f"f{i}" for i in range(NARROW)]
-    )
-    grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    crossing = grouped.mapInArrow(_near_in_groups, "a bigint, b bigint").distinct()
-    crossing = crossing.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.unionAll(_verified(texts, sketches, crossing, size))
+    wide = F.when(F.col("n") > LONG_SET, F.col("wide")).alias("wide")
+    compared = sketches.select("node", "n", *narrow, wide)
+    tested = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "tested")
+    for compare in (_forest_in_groups, _near_in_groups):
+        labelled = shared.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).where("x != y")
+        open_rows = materialize(labelled.join(mixed.select("key", "c"), "key"), "open")
+        blocks = F.ceil(F.col("c") / BLOCK)
+        dealt = open_rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        dealt = dealt.join(compared, "node").select(
+            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", *[f"f{i}" for i in range(NARROW)], "wide"
+        )
+        grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        crossing = grouped.mapInArrow(compare, "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti")
+        crossing = materialize(crossing, "crossing")
+        links = materialize(links.unionAll(_verified(texts, sketches, crossing, size)), "all-links")
+        tested = tested.unionAll(crossing)
     return rows, links
 
 
