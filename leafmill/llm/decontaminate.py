@@ -14,7 +14,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from .arrow import Splitter, Words, append_columns, broadcast_parts, from_parts, groups, release, utf8, windows
+from .arrow import Splitter, Words, append_columns, broadcast_parts, free_name, from_parts, groups, release, utf8, windows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -100,8 +100,9 @@ def mark_contamination(
     they came in, repeated ones too: a null or empty text has no words and is clean, a null item id or item
     text gives no window, repeated items count once. Columns of the new names are replaced.
     """
-    state = "_hit_words bigint, _hit_bits binary, _hit_items array<string>"
-    df = docs.withColumns({"_hit_bits": F.lit(None).cast("binary"), "_hit_items": F.lit(None).cast("array<string>")})
+    held_words, held_bits, held_items = (free_name(docs, c) for c in ("_hit_words", "_hit_bits", "_hit_items"))
+    state = f"{held_words} bigint, {held_bits} binary, {held_items} array<string>"
+    df = docs.withColumns({held_bits: F.lit(None).cast("binary"), held_items: F.lit(None).cast("array<string>")})
 
     def scanning(held):
         def make():
@@ -111,7 +112,7 @@ def mark_contamination(
             def fn(batch):
                 texts = utf8(batch.column(text))
                 totals = [0] * len(texts)
-                bits, names = batch.column("_hit_bits").to_pylist(), batch.column("_hit_items").to_pylist()
+                bits, names = batch.column(held_bits).to_pylist(), batch.column(held_items).to_pylist()
                 for first, end in groups(texts):
                     words = splitter.words(texts[first:end])
                     totals[first:end] = np.diff(words.bounds).tolist()
@@ -134,7 +135,7 @@ def mark_contamination(
     def judging():
         def fn(batch):
             out = [], [], [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("_hit_words", "_hit_bits", "_hit_items"))
+            columns = (batch.column(c).to_pylist() for c in (held_words, held_bits, held_items))
             for total, bits, names in zip(*columns):
                 runs, hits = [], 0
                 if bits:
@@ -148,7 +149,7 @@ def mark_contamination(
         return fn
 
     made = "n_words bigint, n_hit bigint, item_ids array<string>, hit_runs array<array<int>>, contaminated boolean"
-    return append_columns(df, made, judging, drop=("_hit_words", "_hit_bits", "_hit_items", *drop))
+    return append_columns(df, made, judging, drop=(held_words, held_bits, held_items, *drop))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

@@ -1,9 +1,13 @@
 """Surrogates for personal data: detected entities get keyed replacements of the same type and format.
 
 The same entity gets the same surrogate in every document (coreference) and no two entities of a type share
-one (distinctness). Numbers go through a keyed permutation of their digits' value range, letters through a
-keyed stream; names keep gender and script. All distinct entities are checked for shared surrogates, in
-Spark; those that share one, all but the first, and those that came out unchanged get another try, until none is left.
+one (distinctness). Given names and surnames are entities of their own, so a person keeps the surname with and
+without the given name. Numbers go through a keyed permutation of their digits' value range, letters through a
+keyed stream; names keep gender and script. All distinct entities are checked in Spark: those that share a
+surrogate, all but the first, and those whose surrogate is a real entity of the table get another try, until
+none is left.
+
+Detection takes time in proportion to a text's length, unbroken runs of any length included.
 """
 
 from __future__ import annotations
@@ -11,17 +15,20 @@ from __future__ import annotations
 import hmac
 import re
 import sys
+import unicodedata
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .arrow import append_columns
+from .arrow import append_columns, free_name
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KINDS = ("email", "secret", "iban", "card", "ip", "ssn", "phone", "name")
+#: A name is replaced by its parts; it is counted by the surname.
+_COUNTED = {"surname": "name"}
 #: Entities with a further try that one broadcast holds; more are looked up in further passes.
 BLOCK_RETRIES = 200_000
 
@@ -36,6 +43,9 @@ _FIRST = {
     ("greek", "f"): ["Άννα", "Ελένη", "Ζωή", "Θάλεια", "Ιρις", "Μαρία", "Νίκη", "Σοφία"],
     ("greek", "m"): ["Αλέξης", "Γιώργος", "Δήμος", "Ηλίας", "Θωμάς", "Λεωνίδας", "Νίκος", "Πέτρος"],
 }
+_ENDINGS = {
+    ("latin", "f"): "a", ("latin", "m"): "o", ("cyrillic", "f"): "а", ("cyrillic", "m"): "ий", ("greek", "f"): "α", ("greek", "m"): "ος",
+}
 _SYLLABLES = {
     "latin": ["ba", "den", "fel", "gor", "hal", "kin", "lo", "mar", "nes", "pol", "ran", "sti", "tor", "ul", "ves", "win"],
     "cyrillic": ["ба", "ве", "гор", "дан", "жин", "зо", "кам", "лев", "ман", "нов", "пет", "рос", "сам", "тин", "ул", "шан"],
@@ -44,7 +54,7 @@ _SYLLABLES = {
 
 _TITLES = "|".join(sorted(map(re.escape, _FEMALE + _MALE), key=len, reverse=True))
 _ENTITY = re.compile(
-    r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
+    r"(?P<email>(?<![\w.+-])[\w.+-]++@[\w-]++(?:\.[\w-]++)+)"  # begins where its run of characters does
     r"|(?P<lead>\b(?i:token|api[_-]?key|secret|password|passwd)\b[\"']?\s*[=:]\s*[\"']?)(?P<secret>[A-Za-z0-9_+/=-]{8,})"
     r"|(?P<iban>\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\w|\.\w))"
@@ -75,7 +85,10 @@ def find(text: str) -> list[tuple[str, str, int, int]]:
         elif kind in ("secret", "ip"):
             key = value
         elif kind == "name":
-            key = f"{_gender(m['title'])}:{value}"
+            given, _, last = value.rpartition(" ")
+            if given:
+                found.append(("given", f"{_gender(m['title'])}:{given}", start, start + len(given)))
+            kind, key, start = "surname", last, end - len(last)
         else:
             key = re.sub(r"[^0-9A-Z+]", "", value)
         found.append((kind, key, start, end))
@@ -113,18 +126,35 @@ def _luhn(digits: str) -> int:
 def _letters(key: bytes, label: str, value: str) -> str:
     """Letters and digits by others of the same sort; everything else stays."""
     n, out = _number(key, label, value), []
+    own, hexadecimal = n, re.fullmatch("[0-9a-f]+", value)
     for i, c in enumerate(value):
         if i % 24 == 23:
-            n = _number(key, label, value, i)
-        hexadecimal = c in "abcdef" and re.fullmatch("[0-9a-f]+", value)
+            n = _number(key, label, own, i)
         sort = "0123456789" if c.isdigit() else "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz" if c.isalpha() else c
         n, k = divmod(n, len(sort))
         out.append(sort[k].upper() if c.isupper() else sort[k])
     return "".join(out)
 
 
-def script_of(value: str) -> str:
-    return "greek" if re.search("[Ͱ-Ͽ]", value) else "cyrillic" if re.search("[Ѐ-ӿ]", value) else "latin"
+def _remainder_97(value: str) -> int:
+    """The number that an account number's characters spell, letters as 10 to 35, modulo 97."""
+    return int("".join(str(int(c, 36)) for c in value)) % 97
+
+
+def script_of(value: str) -> str | None:
+    """The script of a name, if there are names of it to choose from."""
+    scripts = {"greek": "[Ͱ-Ͽἀ-῿]", "cyrillic": "[Ѐ-ӿ]", "latin": "[A-Za-zÀ-ɏ]"}
+    return next((s for s, letters in scripts.items() if re.search(letters, value)), None)
+
+
+def _same_block(key: bytes, label: str, name: str) -> str:
+    """A name in a script without a list: its letters by others of the same kind from the same 128 characters."""
+    own, out = _number(key, label, name), []
+    for i, c in enumerate(name):
+        first = ord(c) & ~127
+        like = [x for x in map(chr, range(first, first + 128)) if unicodedata.category(x) == unicodedata.category(c)]
+        out.append(like[_number(key, label, own, i) % len(like)] if c.isalpha() else c)
+    return "".join(out)
 
 
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
@@ -137,7 +167,10 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "secret":
         return _letters(key, label, entity) + (_letters(key, label, "x" * 8) if attempt > 3 else "")
     if kind == "iban":
-        return entity[:2] + _letters(key, label, entity[2:])
+        country, body = entity[:2], _letters(key, label, entity[4:])
+        if _remainder_97(entity[4:] + entity[:4]) == 1:
+            return f"{country}{98 - _remainder_97(body + country + '00'):02d}{body}"
+        return country + _letters(key, label, entity[2:4]) + body
     if kind == "ip":
         value = 0
         for octet in entity.split("."):
@@ -154,21 +187,20 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "phone":
         own = len(entity) - 10 if entity.startswith("+") and len(entity) > 10 else 0
         return entity[:own] + _digits(key, label + entity[:own], entity[own:].lstrip("+"))
-    gender, _, name = entity.partition(":")
-    script, words = script_of(name), name.split(" ")
-    n = _number(key, label, name)
-    made = []
-    if len(words) > 1:
+    gender, _, name = entity.rpartition(":")
+    n, script = _number(key, label, entity), script_of(name)
+    if not script:
+        return _same_block(key, label, name)
+    if gender and attempt == 0:
         names = _FIRST[script, gender]
-        n, k = divmod(n, len(names))
-        made.append(names[k])
-    parts = []
-    for _ in range(4 if attempt < 4 else 8):
-        n, k = divmod(n, 16)
-        parts.append(_SYLLABLES[script][k])
-    last = "".join(parts).capitalize()
-    made.append(last)
-    return " ".join(w.upper() if o.isupper() else w for w, o in zip(made, words))
+        made = names[n % len(names)]
+    else:  # the given names of the list run out
+        parts = []
+        for _ in range(3 if attempt < 4 else 8):
+            n, k = divmod(n, 16)
+            parts.append(_SYLLABLES[script][k])
+        made = "".join(parts).capitalize() + (_ENDINGS[script, gender] if gender else "")
+    return made.upper() if name.isupper() else made
 
 
 def in_format(value: str, made: str) -> str:
@@ -195,20 +227,21 @@ def _entities(docs: DataFrame) -> DataFrame:
 def assign_surrogates(docs: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame]:
     """``kind, entity, attempt, made`` of all entities, and the part of it with ``attempt`` above 0.
 
-    A round tries anew those that share a surrogate, but for the one that sorts first, and those that came out
-    as they were. Rounds are tables in the shared folder.
+    A round tries anew those that share a surrogate, but for the one that sorts first, and those whose surrogate
+    is an entity of the table, their own included. Rounds are tables in the shared folder.
     """
     def making(batch):
         columns = (batch.column(c).to_pylist() for c in ("kind", "entity", "attempt"))
         return ([surrogate(key, k, e, a) for k, e, a in zip(*columns)],)
 
     # What has neither letter nor digit has nothing to hide and no other form.
-    same = lambda: (F.col("made") == F.regexp_replace("entity", "^[fm]:", "")) & F.col("entity").rlike(r"[\p{L}0-9]")
+    real = _entities(docs).where(F.col("entity").rlike(r"[\p{L}0-9]")).select("kind", F.regexp_replace("entity", "^[fm]:", "").alias("made"))
+    real = materialize(real.distinct(), "surrogates-real")
     now = materialize(append_columns(_entities(docs).withColumn("attempt", F.lit(0)), "made string", lambda: making), "surrogates")
     while True:
         first = now.groupBy("kind", "made").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = now.join(first, ["kind", "made"]).where("entity != first").select("kind", "entity")
-        again = materialize(shared.unionAll(now.where(same()).select("kind", "entity")).distinct().withColumn("again", F.lit(1)), "surrogates-again")
+        again = materialize(shared.unionAll(now.join(real, ["kind", "made"], "left_semi").select("kind", "entity")).distinct().withColumn("again", F.lit(1)), "surrogates-again")
         if again.isEmpty():
             return now, now.where("attempt > 0")
         tried = now.join(again, ["kind", "entity"], "left")
@@ -232,18 +265,20 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", drop: tupl
 
     A null text stays null and has none; an empty one stays empty; repeated rows come out alike. A surrogate
     depends on the key and, where two entities would share one, on the entities of this table. Existing
-    columns of the new names are replaced. Texts are not shuffled; only distinct entities are.
+    columns of the new names are replaced, no others. Texts are not shuffled; only distinct entities are. A very
+    long text is read whole, in time in proportion to its length; a long secret is one entity.
     """
     sc = docs.sparkSession.sparkContext
     _, retried = assign_surrogates(docs.select(F.col(text).alias("text")), key)
-    df = docs.withColumn("_tries", F.lit(None).cast("array<string>"))
+    tried = free_name(docs, "_tries")
+    df = docs.withColumn(tried, F.lit(None).cast("array<string>"))
 
     def looking_up(held):
         def make():
             known = held.value
 
             def fn(batch):
-                tries = batch.column("_tries").to_pylist()
+                tries = batch.column(tried).to_pylist()
                 for i, value in enumerate(batch.column(text).to_pylist()):
                     own = {f"{known[k, e]}\0{k}\0{e}" for k, e, _, _ in find(value or "") if (k, e) in known}
                     tries[i] = sorted({*(tries[i] or ()), *own}) or None
@@ -254,12 +289,12 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", drop: tupl
         return make
 
     for block in _blocks(retried, BLOCK_RETRIES):
-        df = append_columns(df, "_tries array<string>", looking_up(sc.broadcast(block)))
+        df = append_columns(df, f"{tried} array<string>", looking_up(sc.broadcast(block)))
 
     def replacing():
         def fn(batch):
             texts, counts = [], {k: [] for k in KINDS}
-            for value, tries in zip(batch.column(text).to_pylist(), batch.column("_tries").to_pylist()):
+            for value, tries in zip(batch.column(text).to_pylist(), batch.column(tried).to_pylist()):
                 found = find(value) if value else []
                 attempts = {tuple(x.split("\0", 2)[1:]): int(x.split("\0", 2)[0]) for x in tries or ()}
                 done, parts = 0, []
@@ -270,7 +305,7 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", drop: tupl
                     parts += [value[done:start], made]
                     done = end
                 texts.append(value if not parts else "".join(parts) + value[done:])
-                kinds = [k for k, _, _, _ in found]
+                kinds = [_COUNTED.get(k, k) for k, _, _, _ in found]
                 for k, column in counts.items():
                     column.append(kinds.count(k))
             return texts, *counts.values()
@@ -278,4 +313,4 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", drop: tupl
         return fn
 
     made = f"`{text}` string, " + ", ".join(f"n_{k} bigint" for k in KINDS)
-    return append_columns(df, made, replacing, drop=("_tries", *drop))
+    return append_columns(df, made, replacing, drop=(tried, *drop))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -242,5 +243,45 @@ def test_surrogates(spark, docs, empty):
     assert surrogates.replace_entities(empty, b"k").count() == 0
 
 
+def test_surrogates_keep_people_apart_and_together(spark):
+    texts = [
+        "Mrs Anna Lee met Mr Lee and Mr Karl Berg", "Mrs Lee left; Mr Berg stayed", "Mr Karl Lee, 123-45-6789 and 987-65-4321",
+        "pay to DE89 3704 0044 0532 0130 00 now", "Mr 李明 and Mr Ли",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("_tries", F.lit("mine"))
+    made = {r.doc_id: r for r in surrogates.replace_entities(rows, b"k").collect()}
+    assert all(r._tries == "mine" for r in made.values())
+    first = re.fullmatch(r"Mrs (\w+) (\w+) met Mr (\w+) and Mr (\w+) (\w+)", made[0].text).groups()
+    anna, lee, lee_too, karl, berg = first
+    assert lee == lee_too != berg and len({*first}) == 4 and not {*first} & {"Anna", "Lee", "Karl", "Berg"}
+    assert made[1].text == f"Mrs {lee} left; Mr {berg} stayed"
+    assert made[2].text.startswith(f"Mr {karl} {lee}, ") and (made[0].n_name, made[2].n_ssn) == (3, 2)
+    account = re.search("DE[0-9 ]+[0-9]", made[3].text)[0].replace(" ", "")
+    assert account != "DE89370400440532013000" and surrogates._remainder_97(account[4:] + account[:4]) == 1
+    assert re.fullmatch(r"Mr [\u4e00-\u9fff]{2} and Mr [\u0400-\u04ff]+", made[4].text) and "李明" not in made[4].text
+
+
+def test_surrogates_are_no_real_entity(spark):
+    numbers = [f"{i:03d}-11-{j:04d}" for i in range(1, 30) for j in range(100)]
+    rows = spark.createDataFrame([(0, " ; ".join(numbers))], "doc_id bigint, text string")
+    now, _ = surrogates.assign_surrogates(rows, b"k")
+    made = now.collect()
+    assert len(made) == len(numbers) == len({r.made for r in made})
+    assert not {r.made for r in made} & {r.entity for r in made}
+
+
+@pytest.mark.parametrize("unit", ["a", "a.", "a@", "1", "1 ", "1-", "A", "x=", "Mr ", "token "])
+def test_entities_of_a_long_run_take_linear_time(unit):
+    begun = time.process_time()
+    surrogates.find("@" + unit * (2_000_000 // len(unit)))
+    assert time.process_time() - begun < 20
+
+
+def test_a_long_secret_takes_linear_time():
+    begun = time.process_time()
+    made = surrogates.surrogate(b"k", "secret", "0123456789abcdef" * 20_000)
+    assert len(made) == 320_000 and time.process_time() - begun < 10
+
+
 def test_permutation_is_one_to_one():
     assert sorted(surrogates.permute(b"k", "x", i, 1000) for i in range(1000)) == list(range(1000))
