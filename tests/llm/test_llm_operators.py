@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on rows that are null, empty, long, equal or repeated."""
 
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -104,6 +105,32 @@ def test_drop_repeats(docs, empty, parts):
     assert relative_lz.drop_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_factors_and_literals_give_the_text(spark, parts):
+    random.seed(parts)
+    passages = [" ".join(f"p{i}w{j}" for j in range(40)) for i in range(6)] + ["la " * 60, "a b " * 30]
+    texts = []
+    for i in range(120):
+        cut = [p.split()[random.randint(0, 12) : random.randint(20, 40)] for p in random.choices(passages, k=3)]
+        texts.append(" ".join(" ".join([*own, *(f"d{i}x{j}" for j in range(random.randint(0, 2)))]) for own in cut))
+    texts += [texts[3], "", None, " ".join(texts[:40])]
+    order = random.sample(range(len(texts)), len(texts))
+    rows = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id bigint, text string").repartition(4)
+    words = [SPACED.findall(t or "") for t in texts]
+    made = {r.doc_id: r for r in relative_lz.drop_repeats(rows, parts=parts).collect()}
+    assert len(made) == len(texts) and sum(len(r.factors) for r in made.values()) > 300
+    for i, row in made.items():
+        done, covered = 0, set()
+        for first, end, source, there in row.factors:
+            assert done <= first < end and source < i
+            assert words[i][first:end] == words[source][there : there + end - first]
+            done = end
+            covered.update(range(first, end))
+        assert covered == {p for a, b in row.spans for p in range(a, b)} and len(covered) == row.n_removed
+        assert row.text == " ".join(w for p, w in enumerate(words[i]) if p not in covered)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.text) for r in made.values()) == Counter(without_repeats(list(enumerate(texts))))
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, numbered(500, 13, "Q")), (2, "one"), (3, None), (None, numbered(0, 30)), (4, ""), (5, numbered(40, 15)), (5, numbered(40, 15))]
     table = spark.createDataFrame(items, "item_id bigint, text string")
