@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.llm import decontaminate, language, mixing, ngram_join, token_files
+from leafmill.llm.arrow import packed
 from leafmill.llm.queries import MAX_REPEATS, TARGET_ENTROPY, tokenizer_definition
 from leafmill.session import materialize, scratch_path
 
@@ -22,9 +23,9 @@ ORACLE_SQL = None
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is learnt from the labelled ones; the rest go. Labels stay as they are."""
     samples = language.labelled_samples(docs.where(~language.held_out()))
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")  # no column of the documents is overwritten
-    judged = language.identify(packed, samples, drop=("text",))
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("_row.*")
+    rows, back = packed(docs, "text")  # no column of the documents is overwritten
+    judged = language.identify(rows, samples, text="_text")
+    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*back)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The worker-side functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -23,11 +23,12 @@ def fields(ddl: str) -> list[T.StructField]:
     return T._parse_datatype_string(ddl).fields
 
 
-def append_columns(df: DataFrame, ddl: str, make: Callable[[], Callable], drop: Sequence[str] = ()) -> DataFrame:
+def append_columns(df: DataFrame, ddl: str, make: Callable[[], Callable], drop: Sequence[str] = (), clean: bool = False) -> DataFrame:
     """``df`` with the columns of ``ddl``, made batch by batch; columns of the same names are replaced.
 
     ``make`` runs once per task and gives a function from a record batch to one list or array per new
-    column. ``drop`` names columns that the function reads and the result does not keep.
+    column. ``drop`` names columns that the function reads and the result does not keep. With ``clean`` the worker
+    gives back the memory that a task took when the task ends.
     """
     new = fields(ddl)
     gone = {f.name.lower() for f in new} | {c.lower() for c in drop}
@@ -43,7 +44,16 @@ def append_columns(df: DataFrame, ddl: str, make: Callable[[], Callable], drop:
             made = [pa.array(v, type=t) for v, t in zip(fn(batch), arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in places] + made, names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run) if clean else run, schema)
+
+
+def packed(docs: DataFrame, text: str) -> tuple[DataFrame, list[Column]]:
+    """``_row`` with all columns but the text, and ``_text``, so that no new column meets one of the table's; and
+    the columns that give the rows back."""
+    is_text = [c.lower() == text.lower() for c in docs.columns]
+    rest = [F.col(f"`{c}`") for c, own in zip(docs.columns, is_text) if not own]
+    back = [(F.col("_text") if own else F.col(f"_row.`{c}`")).alias(c) for c, own in zip(docs.columns, is_text)]
+    return docs.select(F.struct(*rest or [F.lit(0)]).alias("_row"), F.col(f"`{text}`").alias("_text")), back
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -69,9 +79,22 @@ def broadcast_parts(spark, value: object):
 def from_parts(kind: type, held) -> object:
     value = object.__new__(kind)
     vars(value).update(held.value)
+    if getattr(held, "_path", None):  # the worker would keep the parts beyond the task; the next task reads them again
+        vars(held).pop("_value", None)
     return value
 
 
+def tidy(run: Callable) -> Callable:
+    """The same over a task's batches; when it ends, its worker, which may then idle for long, gives back its memory."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def release() -> None:
     """Give back what earlier tasks of other operators left in this Python worker, before a task takes memory of its own."""
     import ctypes

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from .arrow import Splitter, Words, append_columns, broadcast_parts, free_name, from_parts, groups, release, utf8, windows
+from .arrow import Splitter, Words, append_columns, broadcast_parts, free_name, from_parts, groups, packed, release, utf8, windows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -104,7 +104,19 @@ def mark_contamination(
     state = f"{held_words} bigint, {held_bits} binary, {held_items} array<string>"
     df = docs.withColumns({held_bits: F.lit(None).cast("binary"), held_items: F.lit(None).cast("array<string>")})
 
-    def scanning(held):
+    def judged(totals, bits, names):
+        out = totals, [], [], [], []
+        for total, packed_bits, own in zip(totals, bits, names):
+            runs, hits = [], 0
+            if packed_bits:
+                hit = np.unpackbits(np.frombuffer(packed_bits, np.uint8), count=total)
+                edges = np.flatnonzero(np.diff(np.concatenate(([0], hit, [0])).astype(np.int8)))
+                runs, hits = edges.reshape(-1, 2).tolist(), int(hit.sum())
+            for column, x in zip(out[1:], (hits, own or [], runs, hits > 0 and share * hits >= total)):
+                column.append(x)
+        return out
+
+    def scanning(held, last):
         def make():
             release()
             known, splitter = from_parts(WindowSet, held), Splitter(SEPARATORS, fold=True)
@@ -122,41 +134,28 @@ def mark_contamination(
                         i += first
                         bits[i] = (packed | np.frombuffer(bits[i], np.uint8) if bits[i] else packed).tobytes()
                         names[i] = sorted({*(names[i] or ()), *own})
-                return totals, bits, names
+                return judged(totals, bits, names) if last else (totals, bits, names)
 
             return fn
 
         return make
 
-    blocks = item_blocks(items, n, block_words, item_id, item_text)
-    for block in (next(blocks, WindowSet([], n)), *blocks):
-        df = append_columns(df, state, scanning(broadcast_parts(docs.sparkSession, block)))
-
-    def judging():
-        def fn(batch):
-            out = [], [], [], [], []
-            columns = (batch.column(c).to_pylist() for c in (held_words, held_bits, held_items))
-            for total, bits, names in zip(*columns):
-                runs, hits = [], 0
-                if bits:
-                    hit = np.unpackbits(np.frombuffer(bits, np.uint8), count=total)
-                    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit, [0])).astype(np.int8)))
-                    runs, hits = edges.reshape(-1, 2).tolist(), int(hit.sum())
-                for column, x in zip(out, (total, hits, names or [], runs, hits > 0 and share * hits >= total)):
-                    column.append(x)
-            return out
-
-        return fn
-
     made = "n_words bigint, n_hit bigint, item_ids array<string>, hit_runs array<array<int>>, contaminated boolean"
-    return append_columns(df, made, judging, drop=(held_words, held_bits, held_items, *drop))
+    blocks = item_blocks(items, n, block_words, item_id, item_text)
+    block = next(blocks, WindowSet([], n))
+    while block is not None:
+        following = next(blocks, None)
+        scan = scanning(broadcast_parts(docs.sparkSession, block), following is None)
+        gone = (held_words, held_bits, held_items, *drop) if following is None else ()
+        df = append_columns(df, made if following is None else state, scan, gone, clean=True)
+        block = following
+    return df
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    flagged = docs.select(F.struct(*docs.columns).alias("_row"), F.col(options.pop("text", "text")).alias("text"))
-    marked = mark_contamination(flagged, items, text="text", drop=("text",), **options)
-    return marked.where(~F.col("contaminated")).select("_row.*")
+    rows, back = packed(docs, options.pop("text", "text"))
+    return mark_contamination(rows, items, text="_text", **options).where(~F.col("contaminated")).select(*back)
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -162,7 +162,7 @@ def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", dro
 
         return fn
 
-    return append_columns(docs, "lang_pred string, score double", make, drop)
+    return append_columns(docs, "lang_pred string, score double", make, drop, clean=True)
 
 
 def held_out(doc_id: str = "doc_id"):

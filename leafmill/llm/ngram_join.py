@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .arrow import WHITE_SPACE, Splitter, groups, mix, release, signed, utf8
+from .arrow import WHITE_SPACE, Splitter, groups, mix, release, signed, tidy, utf8
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -218,7 +218,7 @@ def _make_rows(names: list[str], kinds: list[pa.DataType], text: str, size: int,
             rows = [r for i, own in zip(ids, sets) if (r := row(i, own, seen)) is not None]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * len(kinds), kinds)], names)
 
-    return run
+    return tidy(run)
 
 
 def _node(own: np.ndarray) -> int | None:
@@ -365,7 +365,7 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
             "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", *[f"f{i}" for i in range(NARROW)], "wide"
         )
         grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        crossing = grouped.mapInArrow(compare, "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti")
+        crossing = grouped.mapInArrow(tidy(compare), "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti")
         crossing = materialize(crossing, "crossing")
         links = materialize(links.unionAll(_verified(texts, sketches, crossing, size)), "all-links")
         tested = tested.unionAll(crossing)
