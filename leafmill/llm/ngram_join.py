@@ -13,6 +13,10 @@ It sends its first segments, as many as hold a // 4 + SPARE that are not empty:
 sends fewer, at least SPARE of the sent, not empty segments agree. A segment value that more than ``HOT``
 sets send says little; a set that sends fewer than SPARE such values can leave them out and still meets
 every partner. Sets that send more keep theirs.
+
+Two documents that share a passage agree in many segments, so most values are sent by the very same sets as
+another value. Such groups become one: the key of a group is a hash of its sets. Where that hash is the same for
+other sets, the groups are compared together, which loses nothing.
 """
 
 from __future__ import annotations
@@ -157,7 +161,8 @@ def _forest(x: np.ndarray, y: np.ndarray, own: np.ndarray, parent: np.ndarray) -
 
 
 def _forest_in_groups(batches):
-    """Of the near pairs of ``_near_in_groups`` a spanning forest of the labels: never more pairs than rows."""
+    """Of the near pairs of ``_near_in_groups`` a spanning forest of the labels, never more pairs than rows, and the
+    key of each group of which a near pair was left out."""
     yield from _near_in_groups(batches, forest=True)
 
 
@@ -167,8 +172,8 @@ def _near_in_groups(batches, forest: bool = False):
     def compare(c):
         group = np.concatenate(([0], np.cumsum(np.any([x[1:] != x[:-1] for x in c[:3]], axis=0))))
         longest = int(np.bincount(group).max())
-        _, i, j, own, node, label, n = c[:7]
-        words, wide, found = np.stack(c[7:-1], axis=1).view(np.uint64), c[-1], []
+        key, i, j, own, node, label, n = c[:7]
+        words, wide, found, left = np.stack(c[7:-1], axis=1).view(np.uint64), c[-1], [], [np.empty(0, np.int64)]
         own_label = np.unique(label, return_inverse=True)[1]
         parent = np.arange(int(own_label.max()) + 1)
         for step in range(1, longest):
@@ -186,11 +191,14 @@ def _near_in_groups(batches, forest: bool = False):
                 x, y = np.delete(x, far), np.delete(y, far)
             if forest:
                 joins = _forest(x, y, own_label, parent)
+                left.append(np.unique(key[np.delete(x, joins)]))
                 x, y = x[joins], y[joins]
             if len(x):
                 found.append(np.stack((np.minimum(node[x], node[y]), np.maximum(node[x], node[y])), axis=1))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        keys = np.unique(np.concatenate(left))
+        filled = [pa.concat_arrays([pa.array(pairs[:, k]), pa.nulls(len(keys), LONG)]) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([*filled, pa.concat_arrays([pa.nulls(len(pairs), LONG), pa.array(keys)])], ["a", "b", "key"])
 
     held, rows = [], 0
     for batch in batches:
@@ -321,8 +329,8 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
     First every set is compared with the least ones that it shares a segment value with. Then, wherever one value still
     holds sets of several components, the sketches of these sets are compared across components inside the tasks,
     block by block: in a first pass each task sends on a spanning forest of what looks near, which joins large groups
-    of near copies with few pairs; in the last pass every near pair not yet tested. Pairs inside one component
-    change nothing.
+    of near copies with few pairs; in the last pass every near pair not yet tested, of those groups alone of which the
+    first left out a pair. Pairs inside one component change nothing, and components only grow.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     run = _make_rows(["doc_id", "n", "node", "s", "wide"], [LONG, LONG, LONG, LONGS, pa.binary()], "text", size, _doc_row)
@@ -334,8 +342,13 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
     run = _make_rows(["node", "keys"], [LONG, LONGS], "text", size, _key_row)
     keys = texts.mapInArrow(run, "node bigint, keys array<bigint>").select(F.explode("keys").alias("key"), "node")
     same = Window.partitionBy("key")
-    shared = keys.withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same), "n": F.count(F.lit(1)).over(same)})
-    shared = materialize(shared.where("least != most").select("key", "node", "n").distinct(), "shared")
+    shared = keys.withColumns({
+        "least": F.min("node").over(same), "most": F.max("node").over(same), "n": F.count(F.lit(1)).over(same),
+        "sets": F.bit_xor(F.xxhash64("node")).over(same), "again": F.bit_xor(F.xxhash64("node", F.lit(1))).over(same),
+    })
+    # Values sent by the very same sets are one group; those of many sets keep their own key and its lowest bit.
+    group = F.when(F.col("n") <= HOT, F.xxhash64("least", "most", "n", "sets", "again")).otherwise(F.col("key"))
+    shared = materialize(shared.where("least != most").select(group.alias("key"), "node", "n").distinct(), "shared")
     by_band = F.col("key").bitwiseAND(F.lit(1)).alias("band")
     keeps = shared.where(F.col("n") > HOT).groupBy("node", by_band).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= SPARE)
     hot = shared.where(F.col("n") > HOT).withColumn("band", by_band).join(keeps, ["node", "band"], "left_semi")
@@ -365,8 +378,10 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id", t
             "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", *[f"f{i}" for i in range(NARROW)], "wide"
         )
         grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        crossing = grouped.mapInArrow(tidy(compare), "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti")
+        found = materialize(grouped.mapInArrow(tidy(compare), "a bigint, b bigint, key bigint"), "found")
+        crossing = found.where("key is null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         crossing = materialize(crossing, "crossing")
+        shared = shared.join(found.where("key is not null").select("key").distinct(), "key", "left_semi")
         links = materialize(links.unionAll(_verified(texts, sketches, crossing, size)), "all-links")
         tested = tested.unionAll(crossing)
     return rows, links
