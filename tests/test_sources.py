@@ -1,4 +1,5 @@
 import base64
+import gzip
 import json
 import os
 import time
@@ -182,3 +183,26 @@ def test_lines_are_merged_byte_for_byte_in_their_order(spark, tmp_path):
         lines.merged_lines(spark, [None, str(tmp_path / "a")], strict=True)
     with pytest.raises(ValueError):
         lines.merged_lines(spark, [None])
+
+
+def test_lines_stay_in_the_tasks_that_read_them(spark, tmp_path):
+    """One shuffle partition would hold all lines; written split by split, no task has more than its splits, still in order."""
+    for name, n in (("2", 3000), ("10", 20), ("é", 1)):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{name}.jsonl").write_text("\n".join(f'{{"f": "{name}", "n": {i}}}' for i in range(n)))
+    (tmp_path / "out" / "kind=records").mkdir(parents=True)
+    (tmp_path / "out" / "kind=records" / "part-old.txt").write_text("old\n")
+    conf = {"spark.sql.files.maxPartitionBytes": "10000", "spark.sql.shuffle.partitions": "1"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        lines.write_lines(lines.merged_lines(spark, [str(tmp_path / "in")]), str(tmp_path / "out"), "gzip")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    files = sorted((tmp_path / "out" / "kind=records").glob("*.gz"))
+    assert len(files) > 5 and sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
+    written = [json.loads(line) for f in files for line in gzip.open(f, "rt", encoding="utf-8")]
+    assert [(r["f"], r["n"]) for r in written] == [(name, i) for name, n in (("10", 20), ("2", 3000), ("é", 1)) for i in range(n)]
+    assert lines.written_records(spark, str(tmp_path / "out")).count() == 3021
