@@ -174,3 +174,19 @@ def test_a_broken_step_changes_a_digest(spark, workspace):
     spark.read.parquet(ws.path("tables/other")).write.mode("overwrite").parquet(ws.path("tables/cpt_sections"))
     after = {r.output: (r.n_rows, r.digest) for r in jobs.workspace_digests(ws).collect()}
     assert {k for k in before if before[k] != after[k]} == {"cpt_sections"}
+
+
+def test_tables_and_line_files_are_compressed(spark, workspace, tmp_path):
+    """Uncompressed line files and lightly compressed tables took twice the disk; what they hold is the same."""
+    plain, packed = workspace(), dataclasses.replace(workspace(), root=str(tmp_path / "packed"), compression="gzip")
+    pages = spark.createDataFrame([("d", n, f"page {n} " + "z" * 120) for n in range(1, 13)], "doc_id string, page_no bigint, markdown string")
+    digests = []
+    for ws in (plain, packed):
+        stats, states = jobs.job_all(ws, pages)
+        assert set(states.values()) == {"done"}
+        digests.append((sorted(map(str, stats.collect())), sorted(map(str, jobs.workspace_digests(ws).collect()))))
+    assert digests[0] == digests[1]
+    files = [str(p.relative_to(tmp_path / "packed")) for p in (tmp_path / "packed").rglob("part-*")]
+    tables = [f for f in files if f.endswith(".parquet")]
+    assert {f.split("/")[0] for f in tables} == {"answers", "tables"} and all(f.endswith(".zstd.parquet") for f in tables)
+    assert len(files) > len(tables) and all(f.endswith(".gz") for f in files if f not in tables)
