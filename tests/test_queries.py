@@ -35,3 +35,11 @@ def test_rows_do_not_depend_on_partitions(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_equation_files_hold_fifty_parts_and_are_told_apart(spark, duck):
+    """Fewer files, or rows that do not say which file they are from, would be a smaller job."""
+    rows = contract.queries()["read_equation_json"](spark, SF_DIR).select("bucket", "pos").collect()
+    last = duck.execute("SELECT max(p_partkey) // 50 FROM part").fetchone()[0]
+    assert {r.bucket for r in rows} == {b for b in range(last + 1) if b % 5 != 4}
+    assert len(set(rows)) == len(rows)
