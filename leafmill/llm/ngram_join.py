@@ -405,7 +405,12 @@ def near_components(docs: DataFrame, size: int = SHINGLE, doc_id: str = "doc_id"
 
 def drop_near_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One document of each component: its smallest id stays. All columns are kept; documents without words
-    are copies of nothing and stay. Of rows that repeat an id that stays, all stay."""
-    kept = near_components(docs, size).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = materialize(kept.select(F.col("doc_id").alias("_kept_id")), "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    are copies of nothing and stay. Of rows that repeat an id that stays, all stay. Texts are not moved: the ids that
+    go travel to them, unless these are more than a broadcast may hold."""
+    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")
+    gone = near_components(docs, size).groupBy("doc_id").agg(stays).where("not stays")
+    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id")), "gone")
+    if not gone.where("_gone_id is null").isEmpty():
+        docs = docs.where(F.col("doc_id").cast("bigint").isNotNull())
+    ids = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
+    return docs.join(ids, docs["doc_id"] == gone["_gone_id"], "left_anti")

@@ -86,6 +86,29 @@ def test_drop_near_copies_keeps_columns_and_wordless_rows(docs):
     assert {0, 1, 2} <= {r.doc_id for r in kept.select("doc_id").collect()}
 
 
+@pytest.mark.parametrize("most", [ngram_join.BROADCAST_KEYS, 0])
+def test_drop_near_copies_of_repeated_and_null_ids(spark, monkeypatch, most):
+    """An id stays with all its rows if one of them names its component; a null id only where no id is beside it."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_KEYS", most)
+    a, b, c = numbered(0, 60), numbered(100, 60), numbered(200, 60)
+    rows = [(1, a), (5, a), (5, b), (6, b), (6, b), (7, None), (8, ""), (9, c)]
+    for nulls, left in (([(None, c)], []), ([(None, c), (None, "alone")], [(None, c), (None, "alone")]), ([(None, None)], [(None, None)])):
+        docs = spark.createDataFrame(rows + nulls, "doc_id bigint, text string").repartition(3)
+        kept = rows_of(ngram_join.drop_near_copies(docs), "doc_id", "text")
+        assert kept == Counter([(1, a), (5, a), (5, b), (7, None), (8, ""), (9, c)] + left)
+
+
+def test_drop_near_copies_moves_no_text(spark):
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ngram_join.drop_near_copies(spark.createDataFrame(ROWS, "doc_id bigint, text string"))
+        plan = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def without_repeats(rows, size=13):
     first = {}
     words = [(i, SPACED.findall(t or "")) for i, t in rows]
