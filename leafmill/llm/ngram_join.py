@@ -38,7 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 5
 SPARE = 4
 HOT = 256
-BAND = 1.25
+LIKE = 1.25  # a linked set has at most so many times the shingles of the other
+BAND = 1.5  # from band to band; not below LIKE, so that partners are at most one band apart
 FOLDED = 16  # 64-bit words of the folded sketch
 #: Rows of one segment value that are compared with each other at a time; larger groups are split into blocks.
 BLOCK = 1024
@@ -84,17 +85,17 @@ def _band(n: int) -> int:
 
 
 def _segments(band: int) -> int:
-    """Segments for the sets of a band and their partners from the next: sizes under BAND ** (band + 2)."""
-    need = int(BAND ** (band + 2)) // 4 + SPARE
+    """Segments for the sets of a band and their partners from the next: sizes under LIKE * BAND ** (band + 1)."""
+    need = int(LIKE * BAND ** (band + 1)) // 4 + SPARE
     return need + need // 10 + 2
 
 
 def segment_keys(own: np.ndarray) -> np.ndarray:
-    """What a set sends: for its own band and the band below, whose sets may be partners. The lowest bit of a
-    key tells the two apart."""
-    n, keys = len(own), []
-    for band in (_band(n), _band(n) - 1):
-        if band < 0:
+    """What a set sends: for its own band and, if small enough for partners there, the band below. The lowest bit of
+    a key tells the two apart."""
+    n, keys, top = len(own), [], _band(len(own))
+    for band in (top, top - 1):
+        if band < 0 or band < top and n >= LIKE * BAND**top:
             continue
         m, sent = _segments(band), n // 4 + SPARE
         segment = ((own >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)

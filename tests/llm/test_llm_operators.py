@@ -7,6 +7,7 @@ import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,18 @@ def test_drop_near_copies_moves_no_text(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_sets_send_keys_for_each_band_that_may_hold_partners():
+    """Linked sets of every size agree in enough keys; a set too large for the band below sends none for it."""
+    draw, twice = np.random.default_rng(5), 0
+    for n in range(1, 900):
+        larger = draw.integers(0, 1 << 64, n * 5 // 4, np.uint64)
+        keys, other = (ngram_join.segment_keys(np.unique(x)) for x in (larger[:n], larger))
+        common = np.intersect1d(keys, other)
+        assert max(int((common & np.uint64(1) == bit).sum()) for bit in (0, 1)) >= ngram_join.SPARE, n
+        twice += len(set((keys & np.uint64(1)).tolist())) == 2
+    assert twice < 600
+
+
 def without_repeats(rows, size=13):
     first = {}
     words = [(i, SPACED.findall(t or "")) for i, t in rows]
