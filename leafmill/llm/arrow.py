@@ -96,12 +96,20 @@ def tidy(run: Callable) -> Callable:
 
 
 def release() -> None:
-    """Give back what earlier tasks of other operators left in this Python worker, before a task takes memory of its own."""
-    import ctypes
+    """Give back what this Python worker holds beyond its tasks, but for a loaded tokenizer."""
     import gc
 
-    sys.modules.pop("_leafmill_tokens", None)
+    tokens = getattr(sys.modules.get("_leafmill_tokens"), "tokens", None)
+    if tokens is not None:
+        tokens.forget()
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Give back freed memory that the allocators keep."""
+    import ctypes
+
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .arrow import tidy, trim
 from .tokenize import worker_tokens
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,6 +33,11 @@ SHARD = (
 )
 
 
+def _kind(width: int) -> type:
+    """The narrowest numbers that hold ids of so many bits."""
+    return np.uint16 if width <= 16 else np.uint32
+
+
 class WaveletMatrix:
     """Access, rank and select over the bit planes of a sequence of ids."""
 
@@ -42,7 +48,7 @@ class WaveletMatrix:
 
     @staticmethod
     def build(ids: np.ndarray, width: int) -> tuple[list[bytes], list[bytes]]:
-        now = ids.astype(np.uint16 if width <= 16 else np.uint32)
+        now = ids.astype(_kind(width), copy=False)
         planes, ranks = [], []
         for b in range(width - 1, -1, -1):
             ones = (now & now.dtype.type(1 << b)) != 0
@@ -51,12 +57,15 @@ class WaveletMatrix:
             sums = np.add.reduceat(counts, np.arange(0, len(counts), BLOCK // 8)) if len(counts) else counts
             planes.append(packed.tobytes())
             ranks.append(np.concatenate(([0], np.cumsum(sums))).astype(np.uint32).tobytes())
-            now = np.concatenate((now[~ones], now[ones]))
+            below, zeros = np.empty_like(now), len(now) - int(np.count_nonzero(ones))
+            below[zeros:] = now[ones]
+            below[:zeros] = now[np.logical_not(ones, out=ones)]
+            now = below
         return planes, ranks
 
     def ids(self) -> np.ndarray:
         """The whole sequence, from the lowest plane up."""
-        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        kind = _kind(len(self.planes))
         now = np.zeros(self.n, kind)
         for b, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
             ones = np.unpackbits(plane, count=self.n).view(bool)
@@ -136,7 +145,9 @@ def _encoder(text: str, definition: str, pieces: bool, width: int, end_id: int,
         ids, doc_ids, sizes, held, seq = [], [], [], 0, 0
 
         def shard():
-            planes, ranks = WaveletMatrix.build(np.concatenate(ids), width)
+            whole = np.concatenate(ids)
+            ids.clear()
+            planes, ranks = WaveletMatrix.build(whole, width)
             row = {"part": part, "seq": seq, "n_tokens": held, "doc_ids": doc_ids, "sizes": sizes, "width": width, "planes": planes, "ranks": ranks}
             return pa.RecordBatch.from_pylist([row], schema)
 
@@ -144,7 +155,7 @@ def _encoder(text: str, definition: str, pieces: bool, width: int, end_id: int,
             own_ids, column = batch.column("doc_id").to_pylist(), batch.column(text)
             for first in range(0, len(own_ids), 256):
                 made, counts = tokens.encode(column.slice(first, 256).to_pylist(), end_id)
-                at = 0
+                made, at = made.astype(_kind(width)), 0
                 for doc_id, count in zip(own_ids[first : first + 256], counts.tolist()):
                     ids.append(made[at : at + count])
                     doc_ids.append(doc_id)
@@ -152,11 +163,12 @@ def _encoder(text: str, definition: str, pieces: bool, width: int, end_id: int,
                     at, held = at + count, held + count
                     if held >= shard_tokens:
                         yield shard()
+                        trim()
                         ids, doc_ids, sizes, held, seq = [], [], [], 0, seq + 1
         if doc_ids:
             yield shard()
 
-    return run
+    return tidy(run)
 
 
 def write_token_files(
@@ -194,16 +206,16 @@ def _reader(row):
             for i in range(batch.num_rows):
                 yield row(batch.slice(i, 1).to_pylist()[0])
 
-    return run
+    return tidy(run)
 
 
 def _documents(with_ids: bool):
     def row(shard):
-        ids = WaveletMatrix(shard["n_tokens"], shard["planes"], shard["ranks"]).ids().astype("<u4")
+        ids = WaveletMatrix(shard["n_tokens"], shard["planes"], shard["ranks"]).ids()
         sizes = np.array(shard["sizes"], np.int64)
         ends = np.cumsum(sizes)
         n = len(sizes)
-        crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+        crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
         columns = [
             pa.array([shard["part"]] * n, pa.int32()), pa.array([shard["seq"]] * n, pa.int32()), pa.array(shard["doc_ids"], pa.int64()),
             pa.array(ends - sizes), pa.array(sizes), pa.array(crc, pa.int64()),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import decontaminate, imatch, language, mixing, ngram_join, relative_lz, sharding, surrogates, token_files, url_filter
 from leafmill.llm.queries import QUERIES, URL_RULES, tokenizer_definition
+from leafmill.llm.tokenize import PieceTokens
 from leafmill.session import scratch_path
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -245,6 +246,39 @@ def test_token_files_round_trip(spark, docs, empty):
     assert token_files.read_documents(spark, nothing).count() == 0
 
 
+def test_token_workers_keep_no_pieces(spark):
+    """An idle worker has its tokenizer, and nothing of what its last task has learnt."""
+    words = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.sha1(F.concat("id", F.lit(f"-{i}"))) for i in range(4)]).alias("text"))
+    token_files.write_token_files(words, scratch_path(spark, "test-idle"), tokenizer_definition())
+
+    def held(batches):
+        import sys
+        import pyarrow as pa
+
+        for _ in batches:
+            found = list(vars(sys.modules["_leafmill_tokens"]).values()) if "_leafmill_tokens" in sys.modules else []
+            yield pa.RecordBatch.from_pydict({"n": [len(x.codes) for x in found if hasattr(x, "codes")]}, pa.schema([("n", pa.int64())]))
+
+    idle = [r.n for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n bigint").collect()]
+    assert idle and not any(idle)
+
+
+def test_pieces_take_little_memory():
+    import tracemalloc
+
+    tokens, words = PieceTokens(tokenizer_definition()), [hashlib.sha1(b"%d" % i).hexdigest() for i in range(5000)]
+    words = [re.sub("[0-9]", lambda m: "ghijklmnop"[int(m[0])], w)[:12] for w in words]  # one piece each
+    tracemalloc.start()
+    try:
+        for first in range(0, 5000, 250):
+            tokens.encode([" ".join(words[first : first + 250])])
+        taken = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(tokens.codes) == 5000
+    assert taken < 300 * 5000
+
+
 def test_shards(docs, empty):
     made = sharding.minimax_shards(docs).collect()
     assert Counter((r.doc_id, r.size) for r in made) == Counter((i, len((t or "").encode()) + 1) for i, t in ROWS)
