@@ -19,19 +19,23 @@ CACHED = 300_000
 # Texts of these characters only are lower-cased letter by letter and need no composing; they are cut by
 # the tokenizer file's own split pattern, stated here for them. Special tokens are excluded.
 _PLAIN = re.compile(r"(?!.*<\|)[ \n!-~À-ÖØ-öø-ÿ]*", re.DOTALL)
-# Fixed value: the split pattern of the tokenizer file.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+")
+# Fixed value: the split pattern of the tokenizer file; letters are tried first, as most pieces are words.
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \na-zß-öø-ÿ0-9]+")
 
 
 class _Codes(dict):
-    """Piece to its place in the arrays of ids, made when first met."""
+    """Piece to its place in the arrays of ids, made when first met; ``ids`` has those of piece i from ``starts[i]`` on."""
 
-    def __init__(self, learn) -> None:
+    def __init__(self, model, spelt: dict[int, str]) -> None:
         super().__init__()
-        self.learn = learn
+        self.tokenize, self.spelt = model.tokenize, spelt
+        self.ids, self.starts = array("I"), array("q")  # a list would hold an object for each number
 
     def __missing__(self, piece: str) -> int:
-        code = self[piece] = self.learn(piece)
+        made = self.tokenize(piece if piece.isascii() else piece.translate(self.spelt))
+        self.starts.append(len(self.ids))
+        self.ids.extend([t.id for t in made])
+        code = self[piece] = len(self)
         return code
 
 
@@ -59,15 +63,9 @@ class PieceTokens:
 
     def forget(self) -> None:
         """Drops the pieces met so far; the tokenizer stays."""
-        self.codes = _Codes(self._learn)
-        self.ids, self.starts = array("I"), array("q")  # a list would hold an object for each number
+        self.codes = _Codes(self.model, self.bytes)
         self.flat, self.start_of = np.empty(0, np.uint32), np.empty(0, np.int64)
 
-    def _learn(self, piece: str) -> int:
-        self.starts.append(len(self.ids))
-        self.ids.extend([t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.bytes))])
-        return len(self.starts) - 1
-
     def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other (32 bit), and how many each has; ``end`` closes each."""
         collecting = gc.isenabled()
@@ -91,7 +89,7 @@ class PieceTokens:
             else:
                 pieces = _PIECE.findall(text.lower())
                 parts.append((True, np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))))
-        if len(self.start_of) < len(self.starts) + 1:
+        if len(self.start_of) < len(self.codes) + 1:
             self._grow()
         out = [np.concatenate((self._ids(part) if coded else part, closing)) for coded, part in parts]
         sizes = np.fromiter(map(len, out), np.int64, len(out))
@@ -107,9 +105,9 @@ class PieceTokens:
 
     def _grow(self) -> None:
         """Takes what was learnt since the last call into the arrays."""
-        known = max(0, len(self.start_of) - 1)
-        self.start_of = np.concatenate((self.start_of[:known], self.starts[known:], [len(self.ids)]))
-        self.flat = np.concatenate((self.flat, np.array(self.ids[len(self.flat) :], np.uint32)))
+        known, starts, ids = max(0, len(self.start_of) - 1), self.codes.starts, self.codes.ids
+        self.start_of = np.concatenate((self.start_of[:known], starts[known:], [len(ids)]))
+        self.flat = np.concatenate((self.flat, np.array(ids[len(self.flat) :], np.uint32)))
 
 
 def worker_tokens(definition: str, pieces: bool) -> PieceTokens:
