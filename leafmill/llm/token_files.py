@@ -15,6 +15,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -25,6 +26,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD_TOKENS = 1 << 22
 BLOCK = 512
+#: Ids that are moved from plane to plane at a time, a multiple of 8; arrays of this size stay in a processor's cache.
+MOVED = 1 << 17
+#: Bytes of text that are encoded at a time, or one text: more of them share their words, at some 10 bytes of memory each.
+ENCODED = 1 << 22
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 SHARD = (
@@ -51,16 +56,19 @@ class WaveletMatrix:
         now = ids.astype(_kind(width), copy=False)
         planes, ranks = [], []
         for b in range(width - 1, -1, -1):
-            ones = (now & now.dtype.type(1 << b)) != 0
-            packed = np.packbits(ones)
-            counts = np.bitwise_count(packed).astype(np.uint32)
+            bit, packed, clear, set_ = now.dtype.type(1 << b), [], [], []
+            for first in range(0, len(now), MOVED):
+                some = now[first : first + MOVED]
+                ones = (some & bit) != 0
+                packed.append(np.packbits(ones))
+                set_.append(some.compress(ones))
+                clear.append(some.compress(np.logical_not(ones, out=ones)))
+            plane = np.concatenate(packed) if packed else np.empty(0, np.uint8)
+            counts = np.bitwise_count(plane).astype(np.uint32)
             sums = np.add.reduceat(counts, np.arange(0, len(counts), BLOCK // 8)) if len(counts) else counts
-            planes.append(packed.tobytes())
+            planes.append(plane.tobytes())
             ranks.append(np.concatenate(([0], np.cumsum(sums))).astype(np.uint32).tobytes())
-            below, zeros = np.empty_like(now), len(now) - int(np.count_nonzero(ones))
-            below[zeros:] = now[ones]
-            below[:zeros] = now[np.logical_not(ones, out=ones)]
-            now = below
+            now = np.concatenate((*clear, *set_)) if packed else now
         return planes, ranks
 
     def ids(self) -> np.ndarray:
@@ -68,10 +76,16 @@ class WaveletMatrix:
         kind = _kind(len(self.planes))
         now = np.zeros(self.n, kind)
         for b, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
-            ones = np.unpackbits(plane, count=self.n).view(bool)
-            above = np.empty(self.n, kind)
-            above[~ones] = now[:zeros]
-            above[ones] = now[zeros:] | kind(1 << b)
+            now[zeros:] |= kind(1 << b)
+            above, low, high = np.empty(self.n, kind), 0, zeros
+            for first in range(0, self.n, MOVED):
+                some = above[first : first + MOVED]
+                ones = np.unpackbits(plane[first >> 3 : first + MOVED >> 3], count=len(some)).view(bool)
+                set_ = np.flatnonzero(ones)
+                some[set_] = now[high : high + len(set_)]
+                clear = np.flatnonzero(np.logical_not(ones, out=ones))
+                some[clear] = now[low : low + len(clear)]
+                low, high = low + len(clear), high + len(set_)
             now = above
         return now
 
@@ -153,10 +167,12 @@ def _encoder(text: str, definition: str, pieces: bool, width: int, end_id: int,
 
         for batch in batches:
             own_ids, column = batch.column("doc_id").to_pylist(), batch.column(text)
-            for first in range(0, len(own_ids), 256):
-                made, counts = tokens.encode(column.slice(first, 256).to_pylist(), end_id)
+            held_bytes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(held_bytes // ENCODED)) + 1).tolist(), len(own_ids)]
+            for first, last in zip(cuts, cuts[1:]):
+                made, counts = tokens.encode(column.slice(first, last - first).to_pylist(), end_id)
                 made, at = made.astype(_kind(width)), 0
-                for doc_id, count in zip(own_ids[first : first + 256], counts.tolist()):
+                for doc_id, count in zip(own_ids[first:last], counts.tolist()):
                     ids.append(made[at : at + count])
                     doc_ids.append(doc_id)
                     sizes.append(count)

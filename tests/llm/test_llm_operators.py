@@ -279,6 +279,52 @@ def test_pieces_take_little_memory():
     assert taken < 300 * 5000
 
 
+def test_only_distinct_words_are_cut(monkeypatch):
+    """Texts are cut into words in array operations; a word that comes often is cut into pieces and looked up once a group."""
+    from leafmill.llm import tokenize
+
+    cut, pattern = [], tokenize._PIECE
+
+    class Counted:
+        @staticmethod
+        def findall(text):
+            cut.append(len(text))
+            return pattern.findall(text)
+
+    monkeypatch.setattr(tokenize, "_PIECE", Counted)
+    tokens, text = PieceTokens(tokenizer_definition()), "it's a Word, and\nword 42 d\u00e9j\u00e0 " * 5000
+    ids, sizes = tokens.encode([text, None, text], end=2)
+    once = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == [*once, 2, 2, *once, 2] and sizes.tolist() == [len(once) + 1, 1, len(once) + 1]
+    assert sum(cut) < 100
+
+
+def test_piece_tokens_of_odd_texts():
+    """Groups that mix plain texts, texts encoded as a whole, empty ones and nulls, with and without the end id."""
+    tokens, chance = PieceTokens(tokenizer_definition()), random.Random(3)
+    plain = [*"abcABCsStTrevmld019 .,-'\n\n  \u00e9\u00c9\u00df\u00ff\u00de", "'s", "'ll", "'Re", "''s", "<", "|"]
+    odd = [*plain, "\t", "\r", "\x85", "\u00d7", "\u6f22", "e\u0301", "<|", "<|endoftext|>"]
+
+    def text():
+        kind = chance.choice([plain, plain, odd, [""], [" ", "\n"]])
+        return chance.choice([None, *["".join(chance.choices(kind, k=chance.choice([1, 3, 8, 40])))] * 9])
+
+    for _ in range(400):
+        texts, end = [text() for _ in range(chance.randrange(7))], chance.choice([None, 2])
+        wanted = [tokens.tokenizer.encode(t or "", add_special_tokens=False).ids + [2] * (end == 2) for t in texts]
+        ids, sizes = tokens.encode(texts, end)
+        assert ids.tolist() == [i for w in wanted for i in w] and sizes.tolist() == [len(w) for w in wanted]
+
+
+def test_wavelet_planes_of_many_blocks(monkeypatch):
+    monkeypatch.setattr(token_files, "MOVED", 64, raising=False)
+    for n in (0, 1, 63, 64, 65, 1000, 5000):
+        ids = np.random.default_rng(n).integers(0, 1 << 17, n).astype(np.uint32)
+        matrix = token_files.WaveletMatrix(n, *token_files.WaveletMatrix.build(ids, 17))
+        assert matrix.ids().tolist() == ids.tolist()
+        assert [matrix.access(i) for i in range(0, n, 97)] == ids[::97].tolist()
+
+
 def test_shards(docs, empty):
     made = sharding.minimax_shards(docs).collect()
     assert Counter((r.doc_id, r.size) for r in made) == Counter((i, len((t or "").encode()) + 1) for i, t in ROWS)
