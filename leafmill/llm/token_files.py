@@ -28,8 +28,8 @@ SHARD_TOKENS = 1 << 22
 BLOCK = 512
 #: Ids that are moved from plane to plane at a time, a multiple of 8; arrays of this size stay in a processor's cache.
 MOVED = 1 << 17
-#: Bytes of text that are encoded at a time, or one text: more of them share their words, at some 10 bytes of memory each.
-ENCODED = 1 << 22
+#: Bytes of text that are encoded at a time, or one text: more of them share their words, at some 25 bytes of memory each.
+ENCODED = 1 << 20
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 SHARD = (
