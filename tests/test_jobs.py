@@ -1,11 +1,13 @@
 import dataclasses
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import stubs
 from leafmill.plans import jobs
+from leafmill.sources import lines, readers
 
 PROMPTS = {name: f"{name} prompt" for name in ("rag", "cpt", "qa", "equations", "synthetic")}
 
@@ -190,3 +192,59 @@ def test_tables_and_line_files_are_compressed(spark, workspace, tmp_path):
     tables = [f for f in files if f.endswith(".parquet")]
     assert {f.split("/")[0] for f in tables} == {"answers", "tables"} and all(f.endswith(".zstd.parquet") for f in tables)
     assert len(files) > len(tables) and all(f.endswith(".gz") for f in files if f not in tables)
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (blocks.apply(i).getName() for i in range(blocks.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_query(spark, workspace):
+    """They used to stay until the driver collected its garbage: those of all steps at once."""
+    before = shuffle_files(spark)
+    pages = spark.createDataFrame([("d", n, f"page {n} " + "z" * 120) for n in range(1, 31)], "doc_id string, page_no bigint, markdown string")
+    assert set(jobs.job_all(workspace(), pages)[1].values()) == {"done"}
+    left = shuffle_files(spark) - before
+    for _ in range(50):  # they are deleted in the background
+        if not left:
+            break
+        time.sleep(0.1)
+        left = shuffle_files(spark) - before
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_text_is_stored_once_in_a_table_of_equations(spark, workspace):
+    answers = {"a": '[{"equation": "x", "description": "same"}, {"equation": "y"}, {"equation": "z", "description": null}, 5]', "b": "not json"}
+    ws = workspace(lambda request, attempt: answers[request["messages"][1]["content"][0]])
+    made = jobs.job_equations(ws, docs(spark, "a", "b"))
+    table = lambda name: spark.read.parquet(ws.path(f"tables/{name}"))
+    assert "fields" not in table("equation_parsed").columns and table("equation_parsed").count() == 5
+    assert {(r.pos, r.entry) for r in table("equation_rejects").where("key = 'a'").collect()} == {(3, "5")}
+    stored = {r.pos: (r.description, r.explanation, r.explained) for r in table("equation_entries").collect()}
+    assert stored == {0: ("same", None, True), 1: ("No description available.", "No explanation provided.", False), 2: (None, None, True)}
+    records = {(r.pos, r.dataset): json.loads(r.json) for r in made.collect()}
+    assert [records[n, "conversation"]["response"] for n in range(3)] == ["same", "No explanation provided.", None]
+
+
+@pytest.mark.parametrize("existing", [False, True])
+def test_line_files_in_zstd(spark, workspace, tmp_path, existing):
+    """A name for a codec that Spark has, but has no short name for; every reader of the library knows its files."""
+    pages = spark.createDataFrame([("d", n, f"page {n} é " + "z" * 120) for n in range(1, 13)], "doc_id string, page_no bigint, markdown string")
+    old = {}
+    if existing:
+        (tmp_path / "old").mkdir()
+        (tmp_path / "old" / "a.json").write_text('{"text": "old"}\n{"cut')
+        old = {"existing_cpt": str(tmp_path / "old")}
+    found = []
+    for ws in (workspace(), dataclasses.replace(workspace(), root=str(tmp_path / "packed"), compression="zstd")):
+        stats, states = jobs.job_all(ws, pages, **old)
+        assert set(states.values()) == {"done"}
+        rejects = [] if not existing else lines.written_rejects(spark, ws.path("merged_cpt")).collect()
+        found.append((sorted(map(str, stats.collect())), sorted(map(str, jobs.workspace_digests(ws).collect())), list(map(str, rejects)),
+                      sorted(map(str, readers.read_jsonl(spark, ws.path("synthetic_data"), "text string").collect()))))
+    assert found[0] == found[1] and len(found[0][2]) == existing
+    files = [p for p in (tmp_path / "packed").rglob("part-*") if not p.name.endswith(".parquet")]
+    assert len(files) > 4 and all(p.name.endswith(".zstd") and p.read_bytes()[:4] == b"\x28\xb5\x2f\xfd" for p in files)
+    assert not [p for p in files if "staged" in str(p)]
